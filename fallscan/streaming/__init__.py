@@ -1,0 +1,5 @@
+"""Intentionally empty: the analyses are batch jobs that are simply run again.
+
+There is no stream source, watermark or state to express, so nothing is built
+here (see "Not built" in the README).
+"""
