@@ -153,12 +153,20 @@ def anomaly_crashes(
     return crash_rows(flag_drops(bars, contamination, drop_perc, days_after), price_col)
 
 
+def _is_recent(asof: DateLike, max_days_in_past: int) -> Column:
+    last = as_date(asof)
+    return F.col("min_value_date").between(F.date_sub(last, max_days_in_past), last)
+
+
 def recent_crashes(crashes: DataFrame, asof: DateLike, max_days_in_past: int) -> DataFrame:
     """Crashes whose lowest day is at most ``max_days_in_past`` days before ``asof``."""
-    last = as_date(asof)
-    return crashes.where(
-        F.col("min_value_date").between(F.date_sub(last, max_days_in_past), last)
-    )
+    return crashes.where(_is_recent(asof, max_days_in_past))
+
+
+def only_recent(flagged: DataFrame, asof: DateLike, max_days_in_past: int) -> DataFrame:
+    """The same condition on the output of ``flag_drops``, which keeps all its bars."""
+    recent = F.col("is_crash") & _is_recent(asof, max_days_in_past)
+    return flagged.withColumn("is_crash", F.coalesce(recent, F.lit(False)))
 
 
 # ---- range-join form -------------------------------------------------------------

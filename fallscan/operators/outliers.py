@@ -8,7 +8,7 @@ about 256 gaps, computed once per ticker.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fallscan.functions.isolation import SAMPLE_SIZE, expected_depth, in_sample
 from fallscan.operators.series import SERIES_FIELDS, by_ticker, rank, usable, with_series
@@ -20,6 +20,15 @@ SCORE_FIELDS = ["isolation_depth", "is_anomaly"]
 ANOMALY_FIELDS = SERIES_FIELDS + SCORE_FIELDS
 
 
+#: Whether a bar has a depth. Filtering on this instead of on the depth itself
+#: keeps the optimizer from evaluating the depth twice.
+_SCORED = "_scored"
+
+
+def _is_scored() -> Column:
+    return usable() & (F.col("_total") >= 2)
+
+
 def with_scores(
     series: DataFrame, contamination: float = CONTAMINATION, sample_size: int = SAMPLE_SIZE
 ) -> DataFrame:
@@ -47,7 +56,9 @@ def with_scores(
     )
     depth = expected_depth(dollars, F.col("_gaps"), F.col("_lowest"), F.col("_highest"))
     scored = profiled.select(
-        *series.columns, F.when(usable() & (total >= 2), depth).alias("isolation_depth")
+        *series.columns,
+        _is_scored().alias(_SCORED),
+        F.when(_is_scored(), depth).alias("isolation_depth"),
     )
     threshold = F.percentile("isolation_depth", F.lit(float(contamination))).over(by_ticker())
     is_anomaly = F.coalesce(F.col("isolation_depth") < F.col("_threshold"), F.lit(False))
@@ -68,8 +79,8 @@ def score_bars(
 
 def isolation_scores(bars: DataFrame, sample_size: int = SAMPLE_SIZE) -> DataFrame:
     """Usable bars with their depth; tickers with fewer than two give no rows."""
-    scored = score_bars(bars, CONTAMINATION, sample_size)
-    return scored.where(F.col("isolation_depth").isNotNull())
+    scored = with_scores(with_series(bars), CONTAMINATION, sample_size)
+    return scored.where(_SCORED).select(*bars.columns, *ANOMALY_FIELDS)
 
 
 def anomalies(bars: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:

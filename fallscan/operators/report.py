@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from fallscan.functions.calendar import DateLike, as_date
 from fallscan.functions.prices import day, high_point, low_point, price
-from fallscan.operators.keys import of_tickers
 from fallscan.operators.quality import MIN_BARS_OUTLIER, MIN_BARS_WINDOW, priced_bars
+from fallscan.operators.series import by_ticker
 from fallscan.operators.window_crash import DROP_PERC, is_window_crash
 
 # The names of the steps, of the chart series and of a chart.
@@ -127,15 +127,15 @@ def window_chart_series(crashes: DataFrame) -> DataFrame:
     return _titled(crashes.select("ticker", F.inline(points)))
 
 
-def anomaly_chart_series(bars: DataFrame, crashes: DataFrame) -> DataFrame:
-    """Price line of every crashed ticker and a marker at each crash's lowest day."""
-    line = of_tickers(bars, crashes).select(
-        "ticker", F.lit(LINE_SERIES).alias("series"), day().alias("x"), price().alias("y")
-    )
-    markers = crashes.select(
-        "ticker",
-        F.lit(CRASH_SERIES).alias("series"),
-        F.col("min_value_date").alias("x"),
-        F.col("min_close").alias("y"),
-    )
-    return _titled(line.unionByName(markers))
+def anomaly_chart_series(flagged: DataFrame) -> DataFrame:
+    """Price line of every crashed ticker and a marker at each crash's lowest day.
+
+    Takes the output of ``flag_drops``, in which bars and crashes still lie side by
+    side, partitioned by ticker; no join is needed.
+    """
+    crashed = F.bool_or("is_crash").over(by_ticker())
+    line = _point(LINE_SERIES, day(), price())
+    marker = _point(CRASH_SERIES, F.col("min_value_date"), F.col("min_close"))
+    points = F.when(F.col("is_crash"), F.array(line, marker)).otherwise(F.array(line))
+    shown = flagged.withColumn("_crashed", crashed).where("_crashed")
+    return _titled(shown.select("ticker", F.inline(points)))

@@ -390,8 +390,7 @@ def chart_series(spark, sf_dir):
 
 @query
 def chart_series_outlier(spark, sf_dir):
-    bars = _bars(spark, sf_dir)
-    return report.anomaly_chart_series(bars, anomaly_crash.anomaly_crashes(bars))
+    return report.anomaly_chart_series(anomaly_crash.flag_drops(_bars(spark, sf_dir)))
 
 
 # ---- sets of tickers -------------------------------------------------------------------

@@ -16,6 +16,13 @@ CLUSTER = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+#: Small data on one machine: keep a reducer on every core instead of merging
+#: them by size, and record no Python call sites while plans are built.
+LOCAL = {
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def local_session(name: str, cpus: str | int = "*", memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks, a reducer per core."""
@@ -26,7 +33,7 @@ def local_session(name: str, cpus: str | int = "*", memory: str = "8g") -> Spark
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
     )
-    for key, value in CLUSTER.items():
+    for key, value in {**CLUSTER, **LOCAL}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
