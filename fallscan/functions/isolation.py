@@ -8,9 +8,9 @@ probability ``(hi - lo) / (hi - x)``; the other side is symmetric. The expected
 number of cuts that isolate ``x`` is the sum over all gaps. A small depth marks
 an outlier. (Liu, Ting, Zhou: Isolation Forest, ICDM 2008.)
 
-A value that is not itself in the sample splits the gap it falls in into two
-gaps, each of which certainly has to be cut: that gap counts 2. Outside the
-sample range there is one such gap, counted 1.
+A value outside the sample follows its lower neighbour if the gap it lies in is cut
+above it, else its upper neighbour. That cut is uniform in the gap, so the expected
+depth runs linearly between the neighbours' depths, and stays level beyond the ends.
 
 The result is deterministic, needs no trees and no random state.
 """
@@ -42,16 +42,22 @@ def in_sample(position: Column, total: Column, size: int = SAMPLE_SIZE) -> Colum
     return (total <= size) | (spread * total < F.lit(size * _RANGE))
 
 
-def expected_depth(x: Column, gaps: Column, lowest: Column, highest: Column) -> Column:
-    """Depth of ``x`` given the sample's gaps ``array<struct<lo, hi>>`` and range."""
+def expected_depth(x: Column, gaps: Column) -> Column:
+    """Depth of a sample value ``x`` given the gaps ``array<struct<lo, hi, width>>``.
 
-    def add(depth: Column, gap: Column) -> Column:
-        width = gap.hi - gap.lo
-        return depth + (
-            F.when(gap.lo >= x, width / (gap.hi - x))
-            .when(gap.hi <= x, width / (x - gap.lo))
-            .otherwise(2.0)
-        )
-
-    outside = ((x < lowest) | (x > highest)).cast("double")
-    return F.round(F.aggregate(gaps, F.lit(0.0), add) + outside, DEPTH_DECIMALS)
+    Of the distances from ``x`` to the two ends of a gap the farther one counts; the
+    nearer end is on the same side and the difference to it is negative or smaller.
+    """
+    return F.aggregate(
+        gaps,
+        F.lit(0.0),
+        lambda depth, gap: depth + gap.width / F.greatest(gap.hi - x, x - gap.lo),
+    )
+
+
+def between(x: Column, below: Column, above: Column) -> Column:
+    """Depth of ``x`` between two neighbours ``struct<value, depth>``, either may be null."""
+    rise = F.try_divide(
+        (x - below.value) * (above.depth - below.depth), above.value - below.value
+    )
+    return F.coalesce(below.depth + rise, below.depth, above.depth)

@@ -8,9 +8,9 @@ about 256 gaps, computed once per ticker.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fallscan.functions.isolation import SAMPLE_SIZE, expected_depth, in_sample
+from fallscan.functions.isolation import DEPTH_DECIMALS, SAMPLE_SIZE, between, expected_depth, in_sample
 from fallscan.operators.series import SERIES_FIELDS, by_ticker, rank, usable, with_series
 
 # Fixed value: expected share of outliers.
@@ -29,6 +29,11 @@ def _is_scored() -> Column:
     return usable() & (F.col("_total") >= 2)
 
 
+def _next(column: str) -> Column:
+    """The next value that is not null; the Python API has no flag for it."""
+    return F.expr(f"lead({column}) IGNORE NULLS")
+
+
 def with_scores(
     series: DataFrame, contamination: float = CONTAMINATION, sample_size: int = SAMPLE_SIZE
 ) -> DataFrame:
@@ -39,26 +44,35 @@ def with_scores(
     depth and hence no anomaly.
     """
     dollars, total = F.col("volume_close"), F.col("_total")
-    lo, hi = F.col("_lo"), F.col("_hi")
+    lo, hi, point = F.col("_lo"), F.col("_hi"), F.col("_point")
     counted = series.withColumn("_total", F.count(dollars).over(by_ticker()))
     sampled = counted.withColumn(
         "_lo", F.when(usable() & in_sample(rank(), total, sample_size), dollars)
     )
-    by_value = by_ticker().orderBy(lo.asc_nulls_last())
-    paired = sampled.withColumn("_hi", F.lead(lo).over(by_value))
-    gap = F.when(hi > lo, F.struct(lo.alias("lo"), hi.alias("hi")))
-    profiled = paired.withColumns(
-        {
-            "_gaps": F.collect_list(gap).over(by_ticker()),
-            "_lowest": F.min(lo).over(by_ticker()),
-            "_highest": F.max(lo).over(by_ticker()),
-        }
+    by_value = by_ticker().orderBy(dollars.asc_nulls_last())
+    paired = sampled.withColumn("_hi", _next("_lo").over(by_value))
+    gap = F.struct(lo.alias("lo"), hi.alias("hi"), (hi - lo).alias("width"))
+    gaps = F.collect_list(F.when(hi > lo, gap)).over(by_ticker())
+    sample_point = F.struct(lo.alias("value"), expected_depth(lo, F.col("_gaps")).alias("depth"))
+    placed = (
+        paired.withColumn("_gaps", gaps)
+        .withColumn("_point", F.when(lo.isNotNull(), sample_point))
+        .drop("_gaps")
+        .withColumns(
+            {
+                "_below": F.last(point, True).over(
+                    by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                ),
+                "_above": _next("_point").over(by_value),
+            }
+        )
     )
-    depth = expected_depth(dollars, F.col("_gaps"), F.col("_lowest"), F.col("_highest"))
-    scored = profiled.select(
+    own = F.when(lo.isNotNull(), point.depth)
+    depth = F.coalesce(own, between(dollars, F.col("_below"), F.col("_above")))
+    scored = placed.select(
         *series.columns,
         _is_scored().alias(_SCORED),
-        F.when(_is_scored(), depth).alias("isolation_depth"),
+        F.when(_is_scored(), F.round(depth, DEPTH_DECIMALS)).alias("isolation_depth"),
     )
     threshold = F.percentile("isolation_depth", F.lit(float(contamination))).over(by_ticker())
     is_anomaly = F.coalesce(F.col("isolation_depth") < F.col("_threshold"), F.lit(False))

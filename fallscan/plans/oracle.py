@@ -98,17 +98,25 @@ sampled AS (
   WHERE n <= 256 OR ((rn * 2654435761) % 4294967296) * n < 256 * 4294967296),
 gaps AS (
   SELECT ticker, v AS lo, lead(v) OVER (PARTITION BY ticker ORDER BY v) AS hi FROM sampled),
-ranges AS (SELECT ticker, min(v) AS lowest, max(v) AS highest FROM sampled GROUP BY ticker),
+sample_depths AS (
+  SELECT s.ticker, s.v,
+         coalesce(sum(CASE WHEN g.lo >= s.v THEN (g.hi - g.lo) / (g.hi - s.v)
+                           ELSE (g.hi - g.lo) / (s.v - g.lo) END), 0) AS depth
+  FROM sampled s LEFT JOIN gaps g ON g.ticker = s.ticker AND g.hi IS NOT NULL GROUP BY 1, 2),
+neighbours AS (
+  SELECT u.ticker, u.trade_date, u.volume_close AS x,
+         max(s.v) FILTER (s.v <= u.volume_close) AS below,
+         min(s.v) FILTER (s.v >= u.volume_close) AS above
+  FROM usable u JOIN sampled s ON s.ticker = u.ticker WHERE u.n >= 2 GROUP BY 1, 2, 3),
 depths AS (
-  SELECT u.ticker, u.trade_date,
-         round(coalesce(sum(CASE WHEN g.lo >= u.volume_close THEN (g.hi - g.lo) / (g.hi - u.volume_close)
-                                 WHEN g.hi <= u.volume_close THEN (g.hi - g.lo) / (u.volume_close - g.lo)
-                                 ELSE 2 END), 0)
-               + max(CASE WHEN u.volume_close < r.lowest OR u.volume_close > r.highest
-                          THEN 1 ELSE 0 END), 6) AS isolation_depth
-  FROM usable u JOIN ranges r ON r.ticker = u.ticker
-  LEFT JOIN gaps g ON g.ticker = u.ticker AND g.hi IS NOT NULL
-  WHERE u.n >= 2 GROUP BY 1, 2),
+  SELECT n.ticker, n.trade_date,
+         round(CASE WHEN n.below IS NULL THEN a.depth
+                    WHEN n.above IS NULL OR n.above = n.below THEN b.depth
+                    ELSE b.depth + (n.x - n.below) * (a.depth - b.depth) / (n.above - n.below)
+               END, 6) AS isolation_depth
+  FROM neighbours n
+  LEFT JOIN sample_depths b ON b.ticker = n.ticker AND b.v = n.below
+  LEFT JOIN sample_depths a ON a.ticker = n.ticker AND a.v = n.above),
 thresholds AS (
   SELECT ticker, quantile_cont(isolation_depth, 0.1) AS t FROM depths GROUP BY ticker),
 scored AS (

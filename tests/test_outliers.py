@@ -12,12 +12,11 @@ from fallscan.operators.outliers import (
 from fallscan.operators.series import with_previous_bar
 
 
-def brute_depth(values, sample=None):
-    """Expected cuts per value, pair by pair, against the distinct sample plus the value."""
-    sample = values if sample is None else sample
+def brute_depth(values):
+    """Expected cuts per value, pair by pair, against the distinct values."""
+    points = sorted(set(values))
     depths = []
     for x in values:
-        points = sorted(set(sample) | {x})
         i = points.index(x)
         right = sum((points[k + 1] - points[k]) / (points[k + 1] - x) for k in range(i, len(points) - 1))
         left = sum((points[k + 1] - points[k]) / (x - points[k]) for k in range(i))
@@ -25,6 +24,11 @@ def brute_depth(values, sample=None):
     return depths
 
 
+def brute_depth_by_sample(values, sample):
+    points = sorted(set(sample))
+    return np.interp(values, points, brute_depth(points))
+
+
 def simulated_depth(values, trees, seed):
     """Mean depth at which random trees isolate each value."""
     rng = np.random.default_rng(seed)
@@ -76,6 +80,24 @@ def test_depth_equals_random_trees():
     assert simulated_depth(values, 6000, 3) == pytest.approx(brute_depth(values.tolist()), abs=0.08)
 
 
+def test_value_outside_the_sample_equals_random_trees():
+    # trees grown without the value, then the value is sent down to its leaf
+    sample, x = np.array([1.0, 2.0, 2.5, 4.0, 9.0, 10.0, 30.0]), np.array([0.5, 3.0, 8.0, 26.0, 40.0])
+    rng, trees = np.random.default_rng(9), 6000
+    total = np.zeros(len(x))
+    for _ in range(trees):
+        nodes = [(sample, np.arange(len(x)))]
+        while nodes:
+            points, who = nodes.pop()
+            if len(points) < 2:
+                continue
+            total[who] += 1
+            cut = rng.uniform(points.min(), points.max())
+            nodes.append((points[points < cut], who[x[who] < cut]))
+            nodes.append((points[points >= cut], who[x[who] >= cut]))
+    assert total / trees == pytest.approx(brute_depth_by_sample(x, sample.tolist()), abs=0.08)
+
+
 def test_long_series_is_scored_whole_against_its_sample(make_bars):
     rng = random.Random(11)
     values = [rng.randint(1, 100_000) for _ in range(700)]
@@ -86,7 +108,7 @@ def test_long_series_is_scored_whole_against_its_sample(make_bars):
         if ((i * 2654435761) % 2**32) * len(values) < SAMPLE_SIZE * 2**32
     ]
     assert abs(len(picked) - SAMPLE_SIZE) <= 6
-    assert found == pytest.approx(brute_depth(values, picked), abs=2e-6)
+    assert found == pytest.approx(brute_depth_by_sample(values, picked), abs=3e-6)
 
 
 def test_long_series_sample_agrees_with_all_rows(make_bars):
