@@ -96,6 +96,14 @@ def anomaly_step_stats(flagged: DataFrame) -> DataFrame:
     )
 
 
+# ---- crash tables ----------------------------------------------------------------------
+
+
+def in_report_order(crashes: DataFrame, date_col: str) -> DataFrame:
+    """Crash rows by ticker and date, a distributed range sort."""
+    return crashes.orderBy("ticker", date_col)
+
+
 # ---- bars and crashes side by side ---------------------------------------------------
 
 

@@ -12,6 +12,14 @@ from fallscan.sources.bars import between_days
 DROP_PERC = 30.0
 
 
+def last_traded_day(bars: DataFrame, asof: DateLike) -> Column:
+    """The latest day before ``asof`` that has a bar, as a scalar subquery.
+
+    An alternative to the weekday rule that also knows about holidays.
+    """
+    return bars.where(day() < as_date(asof)).agg(F.max("trade_date")).scalar()
+
+
 def window_extremes(bars: DataFrame, latest_date: DateLike, period_start: DateLike) -> DataFrame:
     """Per ticker the lowest and highest price of the window and their first days."""
     windowed = between_days(bars, period_start, latest_date)

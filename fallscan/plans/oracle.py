@@ -270,6 +270,7 @@ def oracle_statements() -> dict[str, str]:
         "window_crashes": f"WITH {BARS}, {_window('bars')} {WINDOW_ROWS}",
         "window_crashes_today": f"WITH {BARS}, {_window('bars', today=True)} {WINDOW_ROWS}",
         "window_crashes_gappy": f"WITH {GAPPY}, {_window('gappy')} {WINDOW_ROWS}",
+        "window_crashes_last_traded": f"WITH {GAPPY}, {_window('gappy', today=True)} {WINDOW_ROWS}",
         "bar_lag": f"""WITH {GAPPY}, {_scored("gappy")}
             SELECT ticker, trade_date, prev_date, prev_close FROM usable""",
         "isolation_score": f"""WITH {GAPPY}, {_scored("gappy")}
@@ -297,6 +298,8 @@ def oracle_statements() -> dict[str, str]:
             WHERE min_value_date BETWEEN {ASOF} - {r.MAX_DAYS_IN_PAST} AND {ASOF}""",
         "crash_company_info": f"""WITH {BARS}, {_window("bars")}, {COMPANIES}
             SELECT * FROM companies WHERE ticker IN (SELECT ticker FROM crashed)""",
+        "report_crash_table": f"""WITH {BARS}, {_crashes("bars")}
+            SELECT * FROM crashes ORDER BY ticker, crash_date""",
         "bars_of_sector": f"""WITH {BARS}, {COMPANIES} SELECT * FROM bars
             WHERE ticker IN (SELECT ticker FROM companies WHERE sector = '{r.SECTOR}')""",
         "collate_bars_crashes": f"""WITH {BARS}, {_crashes("bars")}

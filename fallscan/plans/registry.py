@@ -270,6 +270,13 @@ def window_crashes_today(spark, sf_dir):
     return _window_crashes(_period_bars(spark, sf_dir), today=True)
 
 
+@query
+def window_crashes_last_traded(spark, sf_dir):
+    bars = _gappy(spark, sf_dir)
+    last = window_crash.last_traded_day(bars, ASOF)
+    return window_crash.window_crashes(bars, last, weekday_back(last, WEEKDAYS))
+
+
 @query
 def window_crashes_gappy(spark, sf_dir):
     return _window_crashes(_period_bars(spark, sf_dir, gappy=True))
@@ -372,6 +379,12 @@ def crash_company_info(spark, sf_dir):
     return keys.of_tickers(company_info(spark, sf_dir), crashes)
 
 
+@query
+def report_crash_table(spark, sf_dir):
+    crashes = anomaly_crash.anomaly_crashes(_bars(spark, sf_dir))
+    return report.in_report_order(crashes, "crash_date")
+
+
 @query
 def bars_of_sector(spark, sf_dir):
     return keys.of_tickers(_bars(spark, sf_dir), company_sector_filter(spark, sf_dir))

@@ -14,10 +14,15 @@ MONTH = "month"
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a session that leaves ``spark.checkpoint.dir`` unset, as a local one in
-    tests does, gets a folder made for this process instead.
+    Only a local session that leaves ``spark.checkpoint.dir`` unset, as in tests,
+    gets a folder made for this process instead.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _own_folder()
 
 
 @functools.cache

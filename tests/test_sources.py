@@ -114,10 +114,18 @@ def test_shared_folder_follows_the_session(spark, prices, tmp_path):
         class conf:
             @staticmethod
             def get(key, default=None):
-                return "/shared/place" if key == "spark.checkpoint.dir" else default
+                return {"spark.checkpoint.dir": "/shared/place"}.get(key, default)
+
+    class Unset:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "yarn"}.get(key, default)
 
     assert sink.shared_folder(Session) == "/shared/place"
     assert sink.fresh_path(Session, "t").startswith("/shared/place/fallscan/t-")
+    with pytest.raises(ValueError):
+        sink.shared_folder(Unset)
     bars = prices({"A": [1.0, 2.0]})
     cut = sink.materialise(bars, "cut")
     assert cut.exceptAll(bars).isEmpty() and cut.count() == 2

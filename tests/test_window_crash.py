@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import day
 from fallscan.functions.prices import null_if_nan
 from fallscan.operators.report import window_step_stats
-from fallscan.operators.window_crash import window_crashes, window_extremes
+from fallscan.operators.window_crash import last_traded_day, window_crashes, window_extremes
 from fallscan.sources.bars import clean_prices
 
 CASES = {
@@ -85,6 +85,14 @@ def test_order_and_partitioning_do_not_matter(bars, partitions):
     assert crashed(shuffled, min_value_today=False) == CRASHED
 
 
+def test_last_traded_day_knows_holidays(make_bars):
+    # day 3 is traded, day 4 is a holiday, asof is day 5: the rule would say day 4
+    bars = make_bars({"T": [(1, 100.0, 1), (2, 90.0, 1), (3, 50.0, 1), (9, 500.0, 1)]})
+    last = last_traded_day(bars, day(5))
+    assert window_crashes(bars, last, day(1)).count() == 3
+    assert window_crashes(bars, day(4), day(1)).isEmpty()
+
+
 def test_step_counts(bars):
     rows = {r.stat: r for r in window_step_stats(bars, day(5), day(1), 30, False).collect()}
     assert rows["data_download"][1:] == (11, 2, 13)
