@@ -45,14 +45,15 @@ def in_sample(position: Column, total: Column, size: int = SAMPLE_SIZE) -> Colum
 def expected_depth(x: Column, gaps: Column) -> Column:
     """Depth of a sample value ``x`` given the gaps ``array<struct<lo, hi, width>>``.
 
-    Of the distances from ``x`` to the two ends of a gap the farther one counts; the
-    nearer end is on the same side and the difference to it is negative or smaller.
+    Every gap lies on one side of ``x``; its far end counts.
     """
-    return F.aggregate(
-        gaps,
-        F.lit(0.0),
-        lambda depth, gap: depth + gap.width / F.greatest(gap.hi - x, x - gap.lo),
-    )
+
+    def add(depth: Column, gap: Column) -> Column:
+        above = depth + gap.width / (gap.hi - x)
+        below = depth + gap.width / (x - gap.lo)
+        return F.when(gap.lo >= x, above).otherwise(below)
+
+    return F.aggregate(gaps, F.lit(0.0), add)
 
 
 def between(x: Column, below: Column, above: Column) -> Column:
