@@ -11,8 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fallscan.llm import exact_dedup, near_dedup
+from fallscan.llm import bpe, exact_dedup, mixing, near_dedup, toxicity
 from fallscan.llm.common import prepare, table
+from fallscan.llm.queries import VOCABULARY
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the toxicity score rejects."""
+    return toxicity.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,9 +31,24 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.representatives(docs)
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    prepare(spark)
+    return mixing.mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of token ids and of the decoded text, a row per document of the mix."""
+    prepare(spark)
+    return bpe.encode_documents(docs, VOCABULARY)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", clean),
     ("exact dedup", exact),
     ("MinHash near-dedup", near),
+    ("mixing sources to target weights", mixture),
+    ("BPE encoding and decoding", tokens),
 ]
 
 #: Gradient-boosted trees, signatures and Newton iterations have no SQL form; the tests

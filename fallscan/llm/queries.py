@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fallscan.llm import exact_dedup, near_dedup
+from fallscan.llm import bpe, exact_dedup, mixing, near_dedup, sharding, toxicity
 from fallscan.llm.common import table
 
 
+#: The vocabulary of op4 and of the pipeline; every executor has the file at this path.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_cuckoo_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -18,11 +23,31 @@ def op2_minhash_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op5_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_cuckoo_exact_dedup,
         op2_minhash_hamming_join,
+        op4_bpe_automaton,
+        op5_toxicity_trees,
+        op6_entropy_mixing,
+        op7_hilbert_shards,
     )
 }
 
