@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fallscan.llm import bpe, exact_dedup, mixing, near_dedup, sharding, toxicity
+from fallscan.llm import (
+    bpe,
+    exact_dedup,
+    licenses,
+    mixing,
+    near_dedup,
+    secrets,
+    sharding,
+    toxicity,
+)
 from fallscan.llm.common import table
 
 
@@ -39,6 +48,14 @@ def op7_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op9_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -48,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_toxicity_trees,
         op6_entropy_mixing,
         op7_hilbert_shards,
+        op8_license_rules,
+        op9_credential_linking,
     )
 }
 
