@@ -13,6 +13,7 @@ from fallscan.llm import (
     licenses,
     mixing,
     near_dedup,
+    quality,
     secrets,
     sharding,
     toxicity,
@@ -56,6 +57,10 @@ def op9_credential_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op10_form_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_hilbert_shards,
         op8_license_rules,
         op9_credential_linking,
+        op10_form_likelihood,
     )
 }
 
