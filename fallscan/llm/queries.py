@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fallscan.llm import (
     bpe,
@@ -16,6 +16,7 @@ from fallscan.llm import (
     quality,
     secrets,
     sharding,
+    token_counts,
     toxicity,
 )
 from fallscan.llm.common import table
@@ -33,6 +34,14 @@ def op2_minhash_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with three edits that follow from its own text."""
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"))
+    edited = docs.withColumn("edits", token_counts.sample_edits(F.col("text")))
+    return token_counts.count_edited(edited, VOCABULARY)
+
+
 def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -66,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_cuckoo_exact_dedup,
         op2_minhash_hamming_join,
+        op3_edit_aware_counts,
         op4_bpe_automaton,
         op5_toxicity_trees,
         op6_entropy_mixing,
