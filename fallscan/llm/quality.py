@@ -86,7 +86,9 @@ def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     rows = rows.join(small_side(trusted), F.col("_id") == F.col("_trusted"), "left")
     counts = (
         _with_grams(rows.select("text", F.col("_trusted").isNotNull().alias("good")))
-        .select("good", F.explode("grams").alias("gram"))
+        # the outer form: else a filter on the array's size would repeat its computation
+        .select("good", F.explode_outer("grams").alias("gram"))
+        .where("gram is not null")
         .groupBy("gram")
         .agg(F.count("*").alias("raw"), F.count_if("good").alias("target"))
         .collect()  # at most 2 * BUCKETS rows
