@@ -48,10 +48,15 @@ def crash_period(asof: DateLike, weekdays: int = 5) -> tuple[Column, Column]:
 
 
 def load_start(asof: DateLike, length: int, unit: str) -> Column:
-    """First day to load for a history of ``length`` months or days."""
+    """First day to load for a history of ``length`` months, days or weekdays.
+
+    Weekdays count trading sessions before the as-of day, as price services do.
+    """
     day = as_date(asof)
     if unit == "month":
         return F.add_months(day, -length)
     if unit == "day":
         return F.date_sub(day, length)
-    raise ValueError(f"unit must be 'month' or 'day', not {unit!r}")
+    if unit == "weekday":
+        return weekday_back(day, length)
+    raise ValueError(f"unit must be 'month', 'day' or 'weekday', not {unit!r}")

@@ -2,63 +2,83 @@
 
 An isolation tree on one feature splits the range of its sample at a uniform
 point, again and again, until the value is alone. A gap ``(lo, hi)`` between two
-neighbouring sample points separates a value ``x <= lo`` from ``hi`` exactly if
-it is hit before every other cut between ``x`` and ``hi``, which happens with
-probability ``(hi - lo) / (hi - x)``; the other side is symmetric. The expected
-number of cuts that isolate ``x`` is the sum over all gaps. A small depth marks
-an outlier. (Liu, Ting, Zhou: Isolation Forest, ICDM 2008.)
-
-A value outside the sample follows its lower neighbour if the gap it lies in is cut
-above it, else its upper neighbour. That cut is uniform in the gap, so the expected
-depth runs linearly between the neighbours' depths, and stays level beyond the ends.
-
-The result is deterministic, needs no trees and no random state.
+neighbouring values separates a value ``x <= lo`` from ``hi`` exactly if it is hit
+before every other cut between ``x`` and ``hi``, which happens with probability
+``(hi - lo) / (hi - x)``; the other side is symmetric. The expected number of
+cuts that isolate ``x`` is the sum over all gaps. A small depth marks an outlier.
+(Liu, Ting, Zhou: Isolation Forest, ICDM 2008.)
+
+Every value of a series takes part, however long the series is. The result is
+deterministic, needs no trees and no random state.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Iterator
 
-# Fixed value: rows per tree of the isolation forest of the paper.
-SAMPLE_SIZE = 256
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed value: decimal places of a depth. Equal positions in a series get equal
 # depths although their sums were formed in a different order.
 DEPTH_DECIMALS = 6
 
-# Golden-ratio multiplier modulo 2^32: multiples of it fill the range evenly and
-# never fall into step with weeks or months.
-_SPREAD = 2654435761
-_RANGE = 4294967296
-
-
-def in_sample(position: Column, total: Column, size: int = SAMPLE_SIZE) -> Column:
-    """Whether the ``position``-th of ``total`` values belongs to the sample.
-
-    Series of up to ``size`` values are used whole. Longer ones contribute about
-    ``size`` values, spread evenly over time.
-    """
-    spread = (position.cast("bigint") * F.lit(_SPREAD)) % F.lit(_RANGE)
-    return (total <= size) | (spread * total < F.lit(size * _RANGE))
-
-
-def expected_depth(x: Column, gaps: Column) -> Column:
-    """Depth of a sample value ``x`` given the gaps ``array<struct<lo, hi, width>>``.
-
-    Every gap lies on one side of ``x``; its far end counts.
+#: Values that one row of the computation scores against the whole series.
+BLOCK = 1024
+
+
+def depths_of(values: np.ndarray, first: int, last: int) -> np.ndarray:
+    """Depths of the values from ``first`` up to ``last`` of a sorted array without repeats."""
+    lo, hi = values[:-1], values[1:]
+    width = hi - lo
+    depths = np.empty(last - first)
+    for k in range(first, last):
+        x = values[k]
+        above = (width[k:] / (hi[k:] - x)).sum()
+        depths[k - first] = above + (width[:k] / (x - lo[:k])).sum()
+    return depths
+
+
+def _score_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        scored = []
+        for values, block in zip(batch.column("values"), batch.column("block").to_pylist()):
+            series = values.values.to_numpy()
+            first = block * BLOCK
+            scored.append(depths_of(series, first, min(first + BLOCK, len(series))))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("key"),
+                batch.column("block"),
+                pa.array(scored, pa.list_(pa.float64())),
+            ],
+            ["key", "block", "depths"],
+        )
+
+
+def depth_curves(values: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, depths): for each key the depths of its distinct values, in ascending order.
+
+    A key's values travel as one sorted array, which its number of days bounds. Blocks of them
+    are rows, so a long series is spread over tasks; no pair of values becomes a row.
     """
-
-    def add(depth: Column, gap: Column) -> Column:
-        above = depth + gap.width / (gap.hi - x)
-        below = depth + gap.width / (x - gap.lo)
-        return F.when(gap.lo >= x, above).otherwise(below)
-
-    return F.aggregate(gaps, F.lit(0.0), add)
+    series = values.groupBy(F.col(key).alias("key")).agg(
+        F.array_sort(F.collect_set(value)).alias("values")
+    )
+    last = F.floor((F.size("values") - 1) / BLOCK).cast("int")
+    blocks = series.where(F.size("values") > 0).select(
+        "key", "values", F.explode(F.sequence(F.lit(0), last)).alias("block")
+    )
+    scored = blocks.repartition("key", "block").mapInArrow(
+        _score_blocks, "key string, block int, depths array<double>"
+    )
+    parts = F.array_sort(F.collect_list(F.struct("block", "depths")))
+    joined = scored.groupBy("key").agg(parts.alias("parts"))
+    return joined.select(
+        F.col("key").alias(key), F.flatten(F.transform("parts", lambda p: p.depths)).alias("depths")
+    )
 
 
-def between(x: Column, below: Column, above: Column) -> Column:
-    """Depth of ``x`` between two neighbours ``struct<value, depth>``, either may be null."""
-    rise = F.try_divide(
-        (x - below.value) * (above.depth - below.depth), above.value - below.value
-    )
-    return F.coalesce(below.depth + rise, below.depth, above.depth)
+def rounded(depth: Column) -> Column:
+    return F.round(depth, DEPTH_DECIMALS)

@@ -222,9 +222,13 @@ def joined_drops(joined: DataFrame) -> DataFrame:
 
 
 def window_close_list(joined: DataFrame) -> DataFrame:
-    """The prices of each outlier's window in day order (missing ones left out)."""
+    """The prices of each outlier's window with their position in day order, from 0 (missing
+    ones left out)."""
     entry = F.when(price().isNotNull(), F.struct("trade_date", "adj_close"))
     listed = F.array_sort(F.collect_list(entry))
-    return joined.groupBy("ticker", "anomaly_date").agg(
+    closes = joined.groupBy("ticker", "anomaly_date").agg(
         F.transform(listed, lambda e: e.adj_close).alias("closes")
     )
+    return closes.select(
+        "ticker", "anomaly_date", F.posexplode("closes").alias("position", "close")
+    )

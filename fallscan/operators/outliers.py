@@ -1,17 +1,17 @@
 """Days of unusual dollar volume, judged within each ticker's own series.
 
-Scores are added to *all* bars, and every window is partitioned by ticker, so
-scoring, flagging and the drop test that builds on them run behind one shuffle.
-No pairs of bars are formed: a ticker's sample is carried as an array of at most
-about 256 gaps, computed once per ticker.
+Scores are added to *all* bars, and every window is partitioned by ticker, so the
+bars are shuffled once for scoring, flagging and the drop test that builds on
+them. The depths of a ticker's distinct values arrive as one array per ticker and
+are looked up by rank. No pairs of bars are formed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from fallscan.functions.isolation import DEPTH_DECIMALS, SAMPLE_SIZE, between, expected_depth, in_sample
-from fallscan.operators.series import SERIES_FIELDS, by_ticker, rank, usable, with_series
+from fallscan.functions.isolation import depth_curves, rounded
+from fallscan.operators.series import SERIES_FIELDS, by_ticker, usable, with_series
 
 # Fixed value: expected share of outliers.
 CONTAMINATION = 0.1
@@ -29,50 +29,28 @@ def _is_scored() -> Column:
     return usable() & (F.col("_total") >= 2)
 
 
-def _next(column: str) -> Column:
-    """The next value that is not null; the Python API has no flag for it."""
-    return F.expr(f"lead({column}) IGNORE NULLS")
-
-
-def with_scores(
-    series: DataFrame, contamination: float = CONTAMINATION, sample_size: int = SAMPLE_SIZE
-) -> DataFrame:
+def with_scores(series: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
     """Add ``SCORE_FIELDS`` to the output of ``with_series``.
 
     A bar is an anomaly if its depth lies strictly below the ``contamination``
     percentile of its ticker's depths. A ticker with a single usable bar gets no
     depth and hence no anomaly.
     """
-    dollars, total = F.col("volume_close"), F.col("_total")
-    lo, hi, point = F.col("_lo"), F.col("_hi"), F.col("_point")
-    counted = series.withColumn("_total", F.count(dollars).over(by_ticker()))
-    sampled = counted.withColumn(
-        "_lo", F.when(usable() & in_sample(rank(), total, sample_size), dollars)
-    )
+    dollars = F.col("volume_close")
     by_value = by_ticker().orderBy(dollars.asc_nulls_last())
-    paired = sampled.withColumn("_hi", _next("_lo").over(by_value))
-    gap = F.struct(lo.alias("lo"), hi.alias("hi"), (hi - lo).alias("width"))
-    gaps = F.collect_list(F.when(hi > lo, gap)).over(by_ticker())
-    sample_point = F.struct(lo.alias("value"), expected_depth(lo, F.col("_gaps")).alias("depth"))
-    placed = (
-        paired.withColumn("_gaps", gaps)
-        .withColumn("_point", F.when(lo.isNotNull(), sample_point))
-        .drop("_gaps")
-        .withColumns(
-            {
-                "_below": F.last(point, True).over(
-                    by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-                ),
-                "_above": _next("_point").over(by_value),
-            }
-        )
-    )
-    own = F.when(lo.isNotNull(), point.depth)
-    depth = F.coalesce(own, between(dollars, F.col("_below"), F.col("_above")))
+    curves = depth_curves(series.where(usable()).select("ticker", "volume_close"), "ticker",
+                          "volume_close")
+    placed = series.withColumns(
+        {
+            "_total": F.count(dollars).over(by_ticker()),
+            "_place": F.dense_rank().over(by_value),
+        }
+    ).join(curves, "ticker", "left")
+    depth = rounded(F.get("depths", F.col("_place") - 1))
     scored = placed.select(
         *series.columns,
         _is_scored().alias(_SCORED),
-        F.when(_is_scored(), F.round(depth, DEPTH_DECIMALS)).alias("isolation_depth"),
+        F.when(_is_scored(), depth).alias("isolation_depth"),
     )
     threshold = F.percentile("isolation_depth", F.lit(float(contamination))).over(by_ticker())
     is_anomaly = F.coalesce(F.col("isolation_depth") < F.col("_threshold"), F.lit(False))
@@ -83,17 +61,15 @@ def with_scores(
     )
 
 
-def score_bars(
-    bars: DataFrame, contamination: float = CONTAMINATION, sample_size: int = SAMPLE_SIZE
-) -> DataFrame:
+def score_bars(bars: DataFrame, contamination: float = CONTAMINATION) -> DataFrame:
     """All bars plus ``ANOMALY_FIELDS``."""
-    scored = with_scores(with_series(bars), contamination, sample_size)
+    scored = with_scores(with_series(bars), contamination)
     return scored.select(*bars.columns, *ANOMALY_FIELDS)
 
 
-def isolation_scores(bars: DataFrame, sample_size: int = SAMPLE_SIZE) -> DataFrame:
+def isolation_scores(bars: DataFrame) -> DataFrame:
     """Usable bars with their depth; tickers with fewer than two give no rows."""
-    scored = with_scores(with_series(bars), CONTAMINATION, sample_size)
+    scored = with_scores(with_series(bars), CONTAMINATION)
     return scored.where(_SCORED).select(*bars.columns, *ANOMALY_FIELDS)
 
 

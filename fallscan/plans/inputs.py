@@ -81,6 +81,18 @@ def event_bars(
     )
 
 
+def null_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars from events; every seventh user has no price on any day."""
+    daily = _daily(
+        table(spark, sf_dir, "events"), [F.col("user_id")], "ts", ["ts", "event_id"], "value",
+        F.count(F.lit(1)),
+    )
+    adj_close = F.when(F.col("user_id") % 7 != 0, F.col("_last.value"))
+    return daily.select(
+        ticker_of(F.col("user_id")).alias("ticker"), "trade_date", *_bar_fields("value", adj_close)
+    )
+
+
 def batch_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars as loaded in several batches: one per kind of event, in name order.
 

@@ -11,6 +11,7 @@ from fallscan.plans import registry as r
 
 FIRST, LATEST = "DATE '2024-01-23'", "DATE '2024-01-30'"
 ASOF = f"DATE '{r.ASOF}'"
+ASOF_PAST = f"DATE '{r.ASOF_PAST}'"
 
 BAR = "ticker, trade_date, open, high, low, close, adj_close, volume"
 
@@ -35,6 +36,10 @@ GAPPY = _event_bars(
     "CASE WHEN last(event_type ORDER BY ts, event_id) <> 'error'"
     " THEN last(value ORDER BY ts, event_id) END",
 )
+#: Bars without any price for every seventh user.
+NULLS = _event_bars(
+    "nulls", "CASE WHEN user_id % 7 <> 0 THEN last(value ORDER BY ts, event_id) END", ", user_id"
+).replace(", user_id\n", "\n").replace("GROUP BY 1, 2, 9", "GROUP BY 1, 2, user_id")
 BATCHES = _event_bars(
     "batches", "last(value ORDER BY ts, event_id)", ", event_type AS batch"
 )
@@ -90,37 +95,23 @@ def _scored(source: str) -> str:
   SELECT *, adj_close * volume AS volume_close,
          lag(trade_date) OVER (PARTITION BY ticker ORDER BY trade_date) AS prev_date,
          lag(adj_close) OVER (PARTITION BY ticker ORDER BY trade_date) AS prev_close,
-         row_number() OVER (PARTITION BY ticker ORDER BY trade_date) AS rn,
          count(*) OVER (PARTITION BY ticker) AS n
   FROM {source} WHERE adj_close * volume IS NOT NULL),
-sampled AS (
-  SELECT DISTINCT ticker, volume_close AS v FROM usable
-  WHERE n <= 256 OR ((rn * 2654435761) % 4294967296) * n < 256 * 4294967296),
+levels AS (SELECT DISTINCT ticker, volume_close AS v FROM usable WHERE n >= 2),
 gaps AS (
-  SELECT ticker, v AS lo, lead(v) OVER (PARTITION BY ticker ORDER BY v) AS hi FROM sampled),
-sample_depths AS (
+  SELECT ticker, v AS lo, lead(v) OVER (PARTITION BY ticker ORDER BY v) AS hi FROM levels),
+level_depths AS (
   SELECT s.ticker, s.v,
-         coalesce(sum(CASE WHEN g.lo >= s.v THEN (g.hi - g.lo) / (g.hi - s.v)
-                           ELSE (g.hi - g.lo) / (s.v - g.lo) END), 0) AS depth
-  FROM sampled s LEFT JOIN gaps g ON g.ticker = s.ticker AND g.hi IS NOT NULL GROUP BY 1, 2),
-neighbours AS (
-  SELECT u.ticker, u.trade_date, u.volume_close AS x,
-         max(s.v) FILTER (s.v <= u.volume_close) AS below,
-         min(s.v) FILTER (s.v >= u.volume_close) AS above
-  FROM usable u JOIN sampled s ON s.ticker = u.ticker WHERE u.n >= 2 GROUP BY 1, 2, 3),
+         round(coalesce(sum(CASE WHEN g.lo >= s.v THEN (g.hi - g.lo) / (g.hi - s.v)
+                                 ELSE (g.hi - g.lo) / (s.v - g.lo) END), 0), 6) AS depth
+  FROM levels s LEFT JOIN gaps g ON g.ticker = s.ticker AND g.hi IS NOT NULL GROUP BY 1, 2),
 depths AS (
-  SELECT n.ticker, n.trade_date,
-         round(CASE WHEN n.below IS NULL THEN a.depth
-                    WHEN n.above IS NULL OR n.above = n.below THEN b.depth
-                    ELSE b.depth + (n.x - n.below) * (a.depth - b.depth) / (n.above - n.below)
-               END, 6) AS isolation_depth
-  FROM neighbours n
-  LEFT JOIN sample_depths b ON b.ticker = n.ticker AND b.v = n.below
-  LEFT JOIN sample_depths a ON a.ticker = n.ticker AND a.v = n.above),
+  SELECT u.ticker, u.trade_date, d.depth AS isolation_depth
+  FROM usable u JOIN level_depths d ON d.ticker = u.ticker AND d.v = u.volume_close),
 thresholds AS (
   SELECT ticker, quantile_cont(isolation_depth, 0.1) AS t FROM depths GROUP BY ticker),
 scored AS (
-  SELECT u.* EXCLUDE (rn, n), d.isolation_depth, d.isolation_depth < t.t AS is_anomaly
+  SELECT u.* EXCLUDE (n), d.isolation_depth, d.isolation_depth < t.t AS is_anomaly
   FROM usable u JOIN depths d ON u.ticker = d.ticker AND u.trade_date = d.trade_date
   JOIN thresholds t ON t.ticker = u.ticker)"""
 
@@ -157,9 +148,9 @@ crashes AS (
   WHERE d.period_percent_max_diff <= -30 AND d.max_value_date < d.min_value_date)"""
 
 
-def _window_stats(today: bool) -> str:
-    return f"""WITH {GAPPY}, {_window("gappy", today)},
-valid AS (SELECT ticker, count(adj_close) AS n FROM gappy GROUP BY ticker)
+def _window_stats(today: bool, tables: str = GAPPY, source: str = "gappy") -> str:
+    return f"""WITH {tables}, {_window(source, today)},
+valid AS (SELECT ticker, count(adj_close) AS n FROM {source} GROUP BY ticker)
 SELECT 'data_download' AS stat, (count(*) FILTER (n >= 2))::BIGINT AS passed,
        (count(*) FILTER (n < 2))::BIGINT AS failed, count(*)::BIGINT AS total FROM valid
 UNION ALL
@@ -173,9 +164,6 @@ _SET_STEP = """SELECT '{stat}' AS stat, count(k.ticker)::BIGINT AS passed,
 FROM valid v LEFT JOIN (SELECT DISTINCT ticker FROM {keys}) k ON k.ticker = v.ticker
 WHERE v.n >= 1"""
 
-_PERIOD_GAPPY = f"""{GAPPY},
-period AS (SELECT * FROM gappy WHERE trade_date BETWEEN {FIRST} AND {LATEST})"""
-
 _PANEL = """SELECT event_type AS ticker, CAST(ts AS DATE) AS trade_date,
        first(value ORDER BY ts, event_id) AS open, max(value) AS high, min(value) AS low,
        last(value ORDER BY ts, event_id) AS close, last(value ORDER BY ts, event_id) AS adj_close,
@@ -183,6 +171,28 @@ _PANEL = """SELECT event_type AS ticker, CAST(ts AS DATE) AS trade_date,
 FROM events GROUP BY 1, 2"""
 
 
+#: What the composed jobs load: a month of one sector, five weekdays of the listing.
+_MONTH_OF_SECTOR = f"""{GAPPY}, {COMPANIES}, loaded AS (
+  SELECT * FROM gappy WHERE trade_date BETWEEN {ASOF} - INTERVAL 1 MONTH AND {ASOF}
+     AND ticker IN (SELECT ticker FROM companies WHERE sector = '{r.SECTOR}')),
+usable_loaded AS (
+  SELECT * FROM loaded WHERE ticker IN (
+    SELECT ticker FROM loaded GROUP BY ticker HAVING count(adj_close) >= 2))"""
+_WEEK_OF_LISTING = f"""{GAPPY}, {LISTING}, loaded AS (
+  SELECT * FROM gappy WHERE trade_date BETWEEN DATE '2024-01-24' AND {ASOF}
+     AND ticker IN (SELECT ticker FROM listing))"""
+
+
+def _outlier_stats(tables: str, source: str) -> str:
+    return f"""WITH {tables}, {_crashes(source)},
+            valid AS (SELECT ticker, count(adj_close) AS n FROM {source} GROUP BY ticker)
+            SELECT 'data_download' AS stat, (count(*) FILTER (n >= 1))::BIGINT AS passed,
+                   (count(*) FILTER (n < 1))::BIGINT AS failed, count(*)::BIGINT AS total
+            FROM valid
+            UNION ALL {_SET_STEP.format(stat="anomalies_detected", keys="odd")}
+            UNION ALL {_SET_STEP.format(stat="crashes_detected", keys="crashes")}"""
+
+
 def oracle_statements() -> dict[str, str]:
     run_set = f"SELECT ticker FROM runs WHERE run_id = {r.RUN_A} {{}} " \
               f"SELECT ticker FROM runs WHERE run_id = {r.RUN_B}"
@@ -194,9 +204,18 @@ def oracle_statements() -> dict[str, str]:
         "listing_parse": f"""SELECT {_ticker("c_custkey")} AS ticker, c_name AS security_name,
             c_mktsegment AS other_info, 'Q' AS market, 'N' AS test_issue,
             'N' AS financial_status FROM customer""",
-        "bars_load_window": f"WITH {BARS} SELECT * FROM bars WHERE trade_date >= {ASOF} - 5",
+        "bars_load_window": f"""WITH {BARS} SELECT * FROM bars
+            WHERE trade_date BETWEEN {ASOF} - 5 AND {ASOF}""",
         "bars_load_months": f"""WITH {BARS} SELECT * FROM bars
-            WHERE trade_date >= {ASOF} - INTERVAL 1 MONTH""",
+            WHERE trade_date BETWEEN {ASOF} - INTERVAL 1 MONTH AND {ASOF}""",
+        "bars_load_asof_past": f"""WITH {BARS} SELECT * FROM bars
+            WHERE trade_date BETWEEN {ASOF_PAST} - 5 AND {ASOF_PAST}""",
+        "bars_load_weekdays": f"""WITH {BARS}, days AS (
+              SELECT {ASOF_PAST} - i::INTEGER AS d FROM generate_series(1, 14) AS s(i)),
+            start AS (SELECT min(d) AS d FROM (
+              SELECT d FROM days WHERE isodow(d) <= 5 ORDER BY d DESC LIMIT 5))
+            SELECT * FROM bars
+            WHERE trade_date BETWEEN (SELECT d FROM start) AND {ASOF_PAST}""",
         "panel_to_long": f"""WITH long AS ({_PANEL})
             SELECT t.ticker, d.trade_date, open, high, low, close, adj_close, volume
             FROM (SELECT DISTINCT trade_date FROM long) d
@@ -243,29 +262,26 @@ def oracle_statements() -> dict[str, str]:
         "ticker_quality": f"""WITH {GAPPY} SELECT ticker, count(*)::BIGINT AS n_bars,
             count(adj_close)::BIGINT AS n_valid, count(adj_close) >= 2 AS is_usable
             FROM gappy GROUP BY ticker""",
-        "ticker_all_null": f"""WITH {GAPPY} SELECT DISTINCT ticker FROM gappy g
-            WHERE trade_date = {LATEST} AND NOT EXISTS (
-              SELECT 1 FROM gappy x WHERE x.ticker = g.ticker AND x.trade_date = {LATEST}
-                 AND x.adj_close IS NOT NULL)""",
-        "usable_bars": f"""WITH {_PERIOD_GAPPY} SELECT * FROM period WHERE ticker IN (
-            SELECT ticker FROM period WHERE adj_close IS NOT NULL
+        "ticker_all_null": f"""WITH {NULLS} SELECT ticker FROM nulls GROUP BY ticker
+            HAVING count(adj_close) = 0""",
+        "usable_bars": f"""WITH {GAPPY} SELECT * FROM gappy WHERE ticker IN (
+            SELECT ticker FROM gappy WHERE adj_close IS NOT NULL
             GROUP BY ticker HAVING count(*) > 1)""",
-        "usable_bars_outlier": f"""WITH {_PERIOD_GAPPY} SELECT * FROM period WHERE ticker IN (
-            SELECT ticker FROM period WHERE adj_close IS NOT NULL)""",
-        "stat_data_download": f"""WITH {_PERIOD_GAPPY},
-            valid AS (SELECT ticker, count(adj_close) AS n FROM period GROUP BY ticker)
+        "usable_bars_outlier": f"""WITH {NULLS} SELECT * FROM nulls WHERE ticker IN (
+            SELECT ticker FROM nulls WHERE adj_close IS NOT NULL)""",
+        "stat_data_download": f"""WITH {GAPPY},
+            valid AS (SELECT ticker, count(adj_close) AS n FROM gappy GROUP BY ticker)
             SELECT 'data_download' AS stat, (count(*) FILTER (n >= 2))::BIGINT AS passed,
                    (count(*) FILTER (n < 2))::BIGINT AS failed, count(*)::BIGINT AS total
             FROM valid""",
         "step_stats": _window_stats(today=False),
         "step_stats_today": _window_stats(today=True),
-        "step_stats_outlier": f"""WITH {GAPPY}, {_crashes("gappy")},
-            valid AS (SELECT ticker, count(adj_close) AS n FROM gappy GROUP BY ticker)
-            SELECT 'data_download' AS stat, (count(*) FILTER (n >= 1))::BIGINT AS passed,
-                   (count(*) FILTER (n < 1))::BIGINT AS failed, count(*)::BIGINT AS total
-            FROM valid
-            UNION ALL {_SET_STEP.format(stat="anomalies_detected", keys="odd")}
-            UNION ALL {_SET_STEP.format(stat="crashes_detected", keys="crashes")}""",
+        "step_stats_outlier": _outlier_stats(GAPPY, "gappy"),
+        "report_window_stats": _window_stats(False, _MONTH_OF_SECTOR, "loaded"),
+        "report_window_crashes": f"""WITH {_MONTH_OF_SECTOR},
+            {_window("usable_loaded")} {WINDOW_ROWS}""",
+        "report_outlier_stats": _outlier_stats(_WEEK_OF_LISTING, "loaded"),
+        "report_outlier_crashes": f"WITH {_WEEK_OF_LISTING}, {_crashes('loaded')} SELECT * FROM crashes",
         "window_extremes": f"WITH {GAPPY}, {_window('gappy')} SELECT * FROM extremes",
         "window_crashes": f"WITH {BARS}, {_window('bars')} {WINDOW_ROWS}",
         "window_crashes_today": f"WITH {BARS}, {_window('bars', today=True)} {WINDOW_ROWS}",
@@ -286,6 +302,12 @@ def oracle_statements() -> dict[str, str]:
             FROM usable u LEFT JOIN scored s
               ON s.ticker = u.ticker AND s.trade_date = u.trade_date GROUP BY u.ticker""",
         "anomaly_window_join": f"{odd}, {_windows('bars', 'odd')} SELECT * FROM joined",
+        "window_close_list": f"""{odd}, {_windows("bars", "odd")}
+            SELECT ticker, anomaly_date,
+                   row_number() OVER (PARTITION BY ticker, anomaly_date ORDER BY trade_date) - 1
+                     AS position,
+                   adj_close AS close
+            FROM joined WHERE adj_close IS NOT NULL""",
         "anomaly_drop": f"{odd}, {_windows('bars', 'odd')} SELECT * FROM drops",
         "anomaly_window_range": f"""WITH {GAPPY}, {_scored("gappy")},
             {_windows("gappy", "usable")}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fallscan.functions.calendar import crash_period, latest_trading_day, load_start, weekday_back
 from fallscan.operators import anomaly_crash, keys, outliers, quality, report, window_crash
 from fallscan.operators.series import with_previous_bar
-from fallscan.plans import inputs
+from fallscan.plans import inputs, reports
 from fallscan.sources import bars as bar_source
 from fallscan.sources import companies as company_source
 from fallscan.sources import listing as listing_source
@@ -23,6 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the registered analyses.
 ASOF = "2024-01-31"
+ASOF_PAST = "2024-01-20"  # inside the data: later bars must not count
 WEEKDAYS = 5
 LOAD_DAYS = 5
 LOAD_MONTHS = 1
@@ -109,6 +110,16 @@ def bars_load_months(spark, sf_dir):
     return bar_source.load_window(loaded, ASOF, LOAD_MONTHS, "month")
 
 
+@query
+def bars_load_asof_past(spark, sf_dir):
+    return bar_source.load_window(_bars(spark, sf_dir), ASOF_PAST, LOAD_DAYS, "day")
+
+
+@query
+def bars_load_weekdays(spark, sf_dir):
+    return bar_source.load_window(_bars(spark, sf_dir), ASOF_PAST, LOAD_DAYS, "weekday")
+
+
 @query
 def panel_to_long(spark, sf_dir):
     panel = inputs.price_panel(spark, sf_dir)
@@ -214,24 +225,22 @@ def ticker_quality(spark, sf_dir):
 
 @query
 def ticker_all_null(spark, sf_dir):
-    first, last = latest_trading_day(ASOF), latest_trading_day(ASOF)
-    return quality.all_null_tickers(inputs.event_bars(spark, sf_dir, first, last, gappy=True))
+    return quality.all_null_tickers(inputs.null_bars(spark, sf_dir))
 
 
 @query
 def usable_bars(spark, sf_dir):
-    return quality.usable_bars(_period_bars(spark, sf_dir, gappy=True))
+    return quality.usable_bars(_gappy(spark, sf_dir))
 
 
 @query
 def usable_bars_outlier(spark, sf_dir):
-    bars = _period_bars(spark, sf_dir, gappy=True)
-    return quality.usable_bars(bars, quality.MIN_BARS_OUTLIER)
+    return quality.usable_bars(inputs.null_bars(spark, sf_dir), quality.MIN_BARS_OUTLIER)
 
 
 @query
 def stat_data_download(spark, sf_dir):
-    return report.download_stats(_period_bars(spark, sf_dir, gappy=True))
+    return report.download_stats(_gappy(spark, sf_dir))
 
 
 @query
@@ -251,6 +260,45 @@ def step_stats_outlier(spark, sf_dir):
     return report.anomaly_step_stats(anomaly_crash.flag_drops(_gappy(spark, sf_dir)))
 
 
+# ---- the composed jobs -----------------------------------------------------------------
+
+
+def _window_report(spark, sf_dir):
+    listing = listing_source.parse_listing(inputs.listing_lines(spark, sf_dir))
+    return reports.window_report(
+        listing, company_source.company_info(inputs.companies(spark, sf_dir)),
+        _gappy(spark, sf_dir), ASOF, sink.fresh_path(spark, "work"),
+        reports.WindowParams(sector=SECTOR, min_value_today=False),
+    )
+
+
+def _outlier_report(spark, sf_dir):
+    listing = listing_source.parse_listing(inputs.listing_lines(spark, sf_dir))
+    return reports.outlier_report(
+        listing, _gappy(spark, sf_dir), ASOF, sink.fresh_path(spark, "work")
+    )
+
+
+@query
+def report_window_stats(spark, sf_dir):
+    return _window_report(spark, sf_dir)["stats"]
+
+
+@query
+def report_window_crashes(spark, sf_dir):
+    return _window_report(spark, sf_dir)["crashes"]
+
+
+@query
+def report_outlier_stats(spark, sf_dir):
+    return _outlier_report(spark, sf_dir)["stats"]
+
+
+@query
+def report_outlier_crashes(spark, sf_dir):
+    return _outlier_report(spark, sf_dir)["crashes"]
+
+
 # ---- drops in one window ---------------------------------------------------------------
 
 

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from fallscan.functions.calendar import DateLike, crash_period
 from fallscan.operators import anomaly_crash, keys, outliers, quality, report, window_crash
 from fallscan.sources import companies as company_source
-from fallscan.sources.bars import load_window
-from fallscan.sources.sink import materialise, write_by_month
+from fallscan.sources.bars import load_window, one_bar
+from fallscan.sources.sink import materialise, remove, write_by_month
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,6 @@ class WindowParams:
     drop_perc: float = window_crash.DROP_PERC
     min_value_today: bool = True
     sector: str = "Healthcare"
-    max_tickers: int | None = None
 
 
 @dataclass(frozen=True)
@@ -35,17 +34,11 @@ class OutlierParams:
     """Parameters of the outlier test; fixed values are its defaults."""
 
     days: int = 5
+    unit: str = "weekday"
     contamination: float = outliers.CONTAMINATION
     drop_perc: float = anomaly_crash.DROP_PERC
     days_after: int = anomaly_crash.DAYS_AFTER
     max_days_in_past: int | None = None
-    max_tickers: int | None = None
-
-
-def _capped(listing: DataFrame, max_tickers: int | None) -> DataFrame:
-    if max_tickers is None:
-        return listing.select("ticker")
-    return keys.first_tickers(listing, max_tickers)
 
 
 def window_report(
@@ -53,20 +46,28 @@ def window_report(
     companies: DataFrame,
     bars: DataFrame,
     asof: DateLike,
+    work: str,
     params: WindowParams = WindowParams(),
 ) -> dict[str, DataFrame]:
-    """Step counts, crashed bars, chart points and companies of crashed tickers."""
+    """Step counts, crashed bars, chart points and companies of crashed tickers.
+
+    Bars after the as-of day do not count, and of several rows per ticker and day one does.
+    ``work`` is a folder that all executors share, for what several tables need.
+    """
     first, last = crash_period(asof, params.weekdays)
     chosen = company_source.of_sector(
-        keys.of_tickers(companies, _capped(listing, params.max_tickers)), params.sector
+        keys.of_tickers(companies, listing.select("ticker")), params.sector
     )
     loaded = materialise(
-        keys.of_tickers(load_window(bars, asof, params.months, "month"), chosen), "window-bars"
+        one_bar(keys.of_tickers(load_window(bars, asof, params.months, "month"), chosen)),
+        work,
+        "window-bars",
     )
     crashes = materialise(
         window_crash.window_crashes(
             quality.usable_bars(loaded), last, first, params.drop_perc, params.min_value_today
         ),
+        work,
         "window-crashes",
     )
     return {
@@ -80,16 +81,26 @@ def window_report(
 
 
 def outlier_report(
-    listing: DataFrame, bars: DataFrame, asof: DateLike, params: OutlierParams = OutlierParams()
+    listing: DataFrame,
+    bars: DataFrame,
+    asof: DateLike,
+    work: str,
+    params: OutlierParams = OutlierParams(),
 ) -> dict[str, DataFrame]:
-    """Step counts, crashes, chart points and bars collated with crashes."""
-    loaded = keys.of_tickers(
-        load_window(bars, asof, params.days, "day"), _capped(listing, params.max_tickers)
+    """Step counts, crashes, chart points and bars collated with crashes.
+
+    As-of day, several rows per day and ``work`` are as in ``window_report``.
+    """
+    loaded = one_bar(
+        keys.of_tickers(
+            load_window(bars, asof, params.days, params.unit), listing.select("ticker")
+        )
     )
     flagged = materialise(
         anomaly_crash.flag_drops(
             loaded, params.contamination, params.drop_perc, params.days_after
         ),
+        work,
         "flagged-bars",
     )
     if params.max_days_in_past is not None:
@@ -108,8 +119,8 @@ def outlier_report(
 _DAY_OF = {"trade_date", "crash_date", "x"}
 
 
-def write_report(tables: dict[str, DataFrame], folder: str) -> None:
-    """Write every table of a report below ``folder``."""
+def write_report(tables: dict[str, DataFrame], folder: str, work: str | None = None) -> None:
+    """Write every table of a report below ``folder``, then remove its ``work`` folder."""
     for name, table in tables.items():
         days = [c for c in table.columns if c in _DAY_OF]
         path = f"{folder.rstrip('/')}/{name}"
@@ -117,3 +128,5 @@ def write_report(tables: dict[str, DataFrame], folder: str) -> None:
             write_by_month(table, path, days[0])
         else:
             table.write.mode("error").parquet(path)
+    if work is not None and tables:
+        remove(next(iter(tables.values())).sparkSession, work)

@@ -4,9 +4,9 @@ Contract of a bars table: at most one row per ``(ticker, trade_date)``. A series
 therefore has no more rows than its date range has days (about 25,000 for a
 century), however large the table gets: a large table means many tickers. That
 bound is what allows the analyses to keep one ticker's series inside one task.
-``one_bar_per_day`` and ``latest_batch`` establish the contract and do so by
-map-side aggregation, so a ticker or day with very many raw rows is reduced
-before anything is shuffled.
+``one_bar_per_day`` establishes the contract and does so by map-side aggregation,
+so a ticker or day with very many raw rows is reduced before anything is
+shuffled. ``latest_batch`` keeps all rows of a batch and does not establish it.
 """
 
 from __future__ import annotations
@@ -33,8 +33,11 @@ def clean_prices(bars: DataFrame) -> DataFrame:
 
 
 def load_window(bars: DataFrame, asof: DateLike, length: int, unit: str = "day") -> DataFrame:
-    """Bars of the last ``length`` days or months; prunes a date-partitioned folder."""
-    return bars.where(F.col("trade_date") >= load_start(asof, length, unit))
+    """Bars of the last ``length`` days, weekdays or months up to the as-of day, which counts.
+
+    Both bounds prune a date-partitioned folder.
+    """
+    return between_days(bars, load_start(asof, length, unit), asof)
 
 
 def between_days(bars: DataFrame, first: DateLike, last: DateLike) -> DataFrame:
@@ -91,6 +94,17 @@ def one_bar_per_day(bars: DataFrame, order: str = "batch") -> DataFrame:
     )
 
 
+def one_bar(bars: DataFrame) -> DataFrame:
+    """One row per ``(ticker, trade_date)``, where several loads left more: the greatest."""
+    fields = [c for c in bars.columns if c not in ("ticker", "trade_date")]
+    return (
+        bars.groupBy("ticker", "trade_date")
+        .agg(F.max(F.struct(*fields)).alias("_bar"))
+        .select("ticker", "trade_date", *[f"_bar.{c}" for c in fields])
+        .select(*bars.columns)
+    )
+
+
 def latest_batch(bars: DataFrame, order: str = "batch") -> DataFrame:
     """For every ticker all bars of its latest batch, which replaces earlier ones.
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,26 +12,24 @@ MONTH = "month"
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only a local session that leaves ``spark.checkpoint.dir`` unset, as in tests,
-    gets a folder made for this process instead.
+    ``spark.checkpoint.dir`` names it; a session that leaves it unset gets a folder below
+    its warehouse, which is shared as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _own_folder()
-
-
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="fallscan-")
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/fallscan/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a work folder and all that was materialised in it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _month(day: str) -> Column:
     return F.date_format(F.trunc(F.col(day), "month"), "yyyy-MM")
 
@@ -53,16 +49,15 @@ def read_by_month(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
-def materialise(table: DataFrame, name: str) -> DataFrame:
-    """Write ``table`` to the shared folder and return it as read from there.
+def materialise(table: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write ``table`` into a shared work folder and return it as read from there.
 
     Several outputs can then be built from one computation, and a lost executor
-    costs a re-read instead of a recomputation.
+    costs a re-read instead of a recomputation. ``remove`` deletes the folder.
     """
-    spark = table.sparkSession
-    path = fresh_path(spark, name)
+    path = f"{folder.rstrip('/')}/{name}"
     table.write.mode("error").parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def save_bucketed_bars(bars: DataFrame, name: str, buckets: int, path: str) -> None:

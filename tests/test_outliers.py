@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import day
-from fallscan.functions.isolation import SAMPLE_SIZE
+from fallscan.functions.isolation import BLOCK, depth_curves
 from fallscan.operators.outliers import (
     anomalies, anomaly_counts, isolation_scores, score_bars,
 )
@@ -80,45 +81,26 @@ def test_depth_equals_random_trees():
     assert simulated_depth(values, 6000, 3) == pytest.approx(brute_depth(values.tolist()), abs=0.08)
 
 
-def test_value_outside_the_sample_equals_random_trees():
-    # trees grown without the value, then the value is sent down to its leaf
-    sample, x = np.array([1.0, 2.0, 2.5, 4.0, 9.0, 10.0, 30.0]), np.array([0.5, 3.0, 8.0, 26.0, 40.0])
-    rng, trees = np.random.default_rng(9), 6000
-    total = np.zeros(len(x))
-    for _ in range(trees):
-        nodes = [(sample, np.arange(len(x)))]
-        while nodes:
-            points, who = nodes.pop()
-            if len(points) < 2:
-                continue
-            total[who] += 1
-            cut = rng.uniform(points.min(), points.max())
-            nodes.append((points[points < cut], who[x[who] < cut]))
-            nodes.append((points[points >= cut], who[x[who] >= cut]))
-    assert total / trees == pytest.approx(brute_depth_by_sample(x, sample.tolist()), abs=0.08)
-
-
-def test_long_series_is_scored_whole_against_its_sample(make_bars):
-    rng = random.Random(11)
-    values = [rng.randint(1, 100_000) for _ in range(700)]
+@pytest.mark.parametrize("n", [255, 256, 257, 700])
+def test_every_value_counts_at_any_length(make_bars, n):
+    rng = random.Random(n)
+    values = [rng.randint(1, 100_000) for _ in range(n)]
     bars = make_bars({"L": series_of(values)})
     found = [r.isolation_depth for r in isolation_scores(bars).orderBy("trade_date").collect()]
-    picked = [
-        v for i, v in enumerate(values, 1)
-        if ((i * 2654435761) % 2**32) * len(values) < SAMPLE_SIZE * 2**32
-    ]
-    assert abs(len(picked) - SAMPLE_SIZE) <= 6
-    assert found == pytest.approx(brute_depth_by_sample(values, picked), abs=3e-6)
-
-
-def test_long_series_sample_agrees_with_all_rows(make_bars):
-    # the oddest days are the oddest whether judged by the sample or by all rows
-    rng = random.Random(5)
-    values = [rng.randint(1000, 1500) for _ in range(600)]
-    values[100], values[300], values[500] = 90_000, 1, 45_000
-    bars = make_bars({"L": series_of(values)})
-    top = isolation_scores(bars).orderBy("isolation_depth").limit(3).collect()
-    assert {r.trade_date for r in top} == {day(101), day(301), day(501)}
+    assert found == pytest.approx(brute_depth(values), abs=2e-6)
+
+
+def test_a_century_of_days_is_spread_over_tasks(spark):
+    values = spark.range(25_000).selectExpr("'L' AS ticker", "cast(id * id AS double) AS v")
+    curves = depth_curves(values, "ticker", "v")
+    (row,) = curves.collect()
+    assert len(row.depths) == 25_000
+    blocks = [math.ceil(25_000 / BLOCK)]
+    assert blocks[0] > 20 and "hashpartitioning(key" in plan_text(curves)
+
+
+def plan_text(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
 
 
 def test_flat_single_and_empty_series(make_bars):

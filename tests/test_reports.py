@@ -34,32 +34,58 @@ def market(spark, prices):
 
 
 def test_window_report(market, spark, tmp_path):
-    tables = window_report(*market, ASOF)
+    tables = window_report(*market, ASOF, str(tmp_path / "work"))
     stats = {r.stat: tuple(r)[1:] for r in tables["stats"].collect()}
     assert stats == {"data_download": (2, 1, 3), "crashes_detected": (1, 1, 2)}
     assert {r.ticker for r in tables["crashes"].collect()} == {"A"}
     assert [r.ticker for r in tables["companies"].collect()] == ["A"]
     assert [(r.x, r.y) for r in tables["chart"].where("series = 'Crash'").collect()] == [(day(9), 50.0)]
-    write_report(tables, str(tmp_path / "report"))
+    n_crashes = tables["crashes"].count()
+    write_report(tables, str(tmp_path / "report"), str(tmp_path / "work"))
+    assert not (tmp_path / "work").exists()
     assert sorted(p.name for p in (tmp_path / "report").iterdir()) == sorted(tables)
-    assert spark.read.parquet(str(tmp_path / "report" / "crashes")).count() == tables["crashes"].count()
+    assert spark.read.parquet(str(tmp_path / "report" / "crashes")).count() == n_crashes
 
 
-def test_window_report_of_a_sector_and_a_cap(market):
-    tables = window_report(*market, ASOF, WindowParams(sector="Energy"))
+def test_window_report_of_a_sector_and_some_tickers(market, tmp_path):
+    tables = window_report(*market, ASOF, str(tmp_path / "a"), WindowParams(sector="Energy"))
     assert {r.ticker for r in tables["crashes"].collect()} == {"C"}
-    tables = window_report(*market, ASOF, WindowParams(max_tickers=1, sector="Energy"))
+    some = market[0].where("ticker = 'A'")
+    tables = window_report(some, *market[1:], ASOF, str(tmp_path / "b"), WindowParams(sector="Energy"))
     assert tables["crashes"].isEmpty() and tables["companies"].isEmpty()
 
 
-def test_outlier_report(market):
+def rows_of(table):
+    return sorted(map(repr, table.collect()))
+
+
+def test_bars_after_the_as_of_day_and_repeats_change_nothing(market, tmp_path):
+    listing, companies, bars = market
+    later = bars.withColumn("trade_date", F.date_add("trade_date", 30)).withColumn(
+        "adj_close", F.lit(1.0)
+    )
+    more = bars.union(later).union(bars)
+    for k, make in enumerate(
+        (
+            lambda b, w: window_report(listing, companies, b, ASOF, w),
+            lambda b, w: outlier_report(listing, b, ASOF, w),
+        )
+    ):
+        plain, other = make(bars, str(tmp_path / f"{k}a")), make(more, str(tmp_path / f"{k}b"))
+        for name in plain:
+            assert rows_of(plain[name]) == rows_of(other[name]), name
+
+
+def test_outlier_report(market, tmp_path):
     listing, _, bars = market
-    tables = outlier_report(listing, bars, ASOF)
+    tables = outlier_report(listing, bars, ASOF, str(tmp_path / "a"))
     assert {r.ticker for r in tables["crashes"].collect()} == {"A", "C"}
     stats = {r.stat: tuple(r)[1:] for r in tables["stats"].collect()}
     assert stats["data_download"] == (3, 1, 4)
     assert stats["crashes_detected"] == (2, 1, 3)
     assert tables["collated"].where("crash_date is not null").count() == 2
-    old = outlier_report(listing, bars, day(12), OutlierParams(max_days_in_past=2))
+    old = outlier_report(
+        listing, bars, day(12), str(tmp_path / "b"), OutlierParams(max_days_in_past=2)
+    )
     assert old["crashes"].isEmpty()
     assert {r.stat: r.passed for r in old["stats"].collect()}["crashes_detected"] == 0

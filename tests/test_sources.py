@@ -31,6 +31,35 @@ def test_listing_file(spark, tmp_path):
     assert (first.security_name, first.financial_status) == ("First Corp", "100")
 
 
+def test_listing_file_keeps_what_a_plain_split_keeps(spark, tmp_path):
+    path = tmp_path / "listing.txt"
+    lines = ["CCCC|No Status|Q|N|N||N|N", 'DDDD|"Quoted" Corp|S|N|N|100|N|N', "EEEE|Six Fields|Q|N|N|100"]
+    path.write_text("\n".join([*LINES, *lines]) + "\n")
+    found = {r.ticker: r for r in ls.read_listing(spark, str(path)).collect()}
+    assert set(found) == {"AAAA", "BBBB", "CCCC", "DDDD", "EEEE"}
+    assert found["CCCC"].financial_status == ""
+    assert found["DDDD"].security_name == '"Quoted" Corp'
+    parsed = spark.createDataFrame([(line,) for line in [*LINES, *lines]], "line string")
+    assert {r.ticker for r in ls.parse_listing(parsed, header=HEADER).collect()} == set(found)
+
+
+def test_load_window_ends_at_the_as_of_day(spark, prices):
+    bars = prices({"A": [float(i) for i in range(1, 29)]})
+    days = lambda f: sorted(r.trade_date for r in f.collect())
+    assert days(bs.load_window(bars, day(10), 3)) == [day(n) for n in (7, 8, 9, 10)]
+    # day 15 is a Monday: five weekdays back is the Monday before
+    assert days(bs.load_window(bars, day(15), 5, "weekday")) == [day(n) for n in range(8, 16)]
+    with pytest.raises(ValueError):
+        bs.load_window(bars, day(10), 3, "hour")
+
+
+def test_one_bar_drops_repeats(spark, prices):
+    bars = prices({"A": [1.0, 2.0]})
+    other = bars.withColumn("close", bars["close"] - 0.5)
+    one = bs.one_bar(bars.union(bars).union(other))
+    assert one.exceptAll(bars).isEmpty() and one.count() == 2
+
+
 def test_listing_lines(spark):
     lines = spark.createDataFrame([(line,) for line in LINES], "line string")
     found = ls.parse_listing(lines, header=HEADER)
@@ -120,13 +149,14 @@ def test_shared_folder_follows_the_session(spark, prices, tmp_path):
         class conf:
             @staticmethod
             def get(key, default=None):
-                return {"spark.master": "yarn"}.get(key, default)
+                return {"spark.sql.warehouse.dir": "/warehouse"}.get(key, default)
 
     assert sink.shared_folder(Session) == "/shared/place"
     assert sink.fresh_path(Session, "t").startswith("/shared/place/fallscan/t-")
-    with pytest.raises(ValueError):
-        sink.shared_folder(Unset)
+    assert sink.shared_folder(Unset) == "/warehouse/_shared"
     bars = prices({"A": [1.0, 2.0]})
-    cut = sink.materialise(bars, "cut")
+    cut = sink.materialise(bars, str(tmp_path / "work"), "cut")
     assert cut.exceptAll(bars).isEmpty() and cut.count() == 2
     assert cut.inputFiles()
+    sink.remove(spark, str(tmp_path / "work"))
+    assert not (tmp_path / "work").exists()
