@@ -3,17 +3,24 @@ on whole shingle sets.
 
 A set of five-word shingles gets a signature of ``SYMBOLS`` minimum hashes of b = 32 bits. Two
 sets of similarity J differ in a symbol with probability 1 - J, so the Hamming distance over
-symbols estimates 1 - J. All pairs of signatures at a distance of at most ``MAX_DISTANCE`` are
-found (Norouzi, Punjani, Fleet: Fast Search in Hamming Space with Multi-Index Hashing, CVPR
+symbols estimates 1 - J. All pairs of signatures at a distance of at most ``MAX_DISTANCE`` share
+a key (Norouzi, Punjani, Fleet: Fast Search in Hamming Space with Multi-Index Hashing, CVPR
 2012): the signature is split into ``CHUNKS`` chunks; by the pigeonhole principle one chunk has
 at most floor(MAX_DISTANCE / CHUNKS) = 1 error, and both sides enumerate that error, a symbol
-left out, as keys. At J = 0.75 a pair lies beyond the distance with a probability below 4e-8.
+left out, as keys. At J = 0.75 a pair lies beyond the distance with a probability below 1e-8.
+
+Keys that a common passage makes are crowded and say little. A chunk is *crowded* for a document
+if one of its keys has more than ``CROWD`` nodes. A document with at least ``OPEN_CHUNKS`` other
+chunks is found by those: a chunk of a pair at J = 0.75 has more than one error with probability
+0.16, all nine with less than 1e-7. The rest, documents made mostly of common text, are joined
+exactly: similar sets share one of their rarest shingles, counted over all these documents
+(prefix filter; Chaudhuri, Ganti, Kaushik: A Primitive Operator for Similarity Joins, ICDE 2006).
 
 Work per group is not quadratic. Documents with equal sets are one node. A key's nodes are
-first linked to its smallest node only; the links are confirmed and joined to components; then
-only nodes of a key that are in different components are compared, in tasks that hold a block
-each. A key with more such nodes than ``BLOCK`` is split by a second chunk: at distances up to
-MAX_DISTANCE at least two chunks have at most one error each, so nothing is lost.
+first compared with its smallest node only; confirmed links join them to components; then only
+nodes of a key in different components are compared, in blocks. Before sets are fetched, a
+bitmap of parities rejects pairs: it differs in no more bits than the sets differ in shingles,
+so it never rejects a link.
 
 Defined cases: null and blank texts have an empty set, link with nothing and are kept; a null
 doc_id takes part with null as its id, which no component takes as its smallest; rows that
@@ -34,7 +41,14 @@ from fallscan.llm.common import settle, small_side
 CHUNKS = 16
 CHUNK_SYMBOLS = 3
 SYMBOLS = CHUNKS * CHUNK_SYMBOLS
-MAX_DISTANCE = 29
+MAX_DISTANCE = 31
+
+#: Nodes from which a key is crowded, and chunks that a node needs without such keys.
+CROWD = 64
+OPEN_CHUNKS = 9
+
+#: Bits of the bitmap of parities.
+BITMAP = 2048
 
 #: The similarity that links: 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
@@ -48,7 +62,7 @@ _TERMS = shingles.seeded(12, SYMBOLS)
 _KEY_SEEDS = shingles.seeded(13, SYMBOLS)
 _SPAN = 1 << 15  # shingles hashed at a time, so that a pass stays in the cache
 
-SIGNED = "doc_id long, n_shingles long, digest binary, signature binary"
+SIGNED = "doc_id long, n_shingles long, digest binary, signature binary, bitmap binary"
 
 
 def signatures(sets: list[np.ndarray]) -> np.ndarray:
@@ -72,6 +86,17 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def bitmap_of(shingle_hashes: np.ndarray) -> bytes:
+    """For each of BITMAP classes of shingles, whether their number is odd."""
+    classes = (shingle_hashes & _U64(BITMAP - 1)).astype(np.int64)
+    return np.packbits(np.bincount(classes, minlength=BITMAP).astype(np.uint8) & 1).tobytes()
+
+
+def most_differing(total_size):
+    """Most shingles in which two linked sets of so many shingles in all can differ."""
+    return total_size * (100 - SIMILARITY) // (100 + SIMILARITY)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingles.shingle_set(w) for w in shingles.word_groups(batch.column("text"))]
@@ -83,8 +108,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([shingles.digest_of(s) for s in sets], pa.binary()),
                 pa.array([next(rows).tobytes() if len(s) else None for s in sets], pa.binary()),
+                pa.array([bitmap_of(s) for s in sets], pa.binary()),
             ],
-            ["doc_id", "n_shingles", "digest", "signature"],
+            ["doc_id", "n_shingles", "digest", "signature", "bitmap"],
         )
 
 
@@ -95,17 +121,26 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _nodes(found: DataFrame) -> DataFrame:
-    """One node per distinct set: (node, digest, least_id, signature), settled."""
+    """One node per distinct set: (node, digest, least_id, n, signature, bitmap), settled."""
     sets = (
         found.where("digest is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("least_id"), F.first("signature").alias("signature"))
+        .agg(
+            F.min("doc_id").alias("least_id"),
+            F.first("n_shingles").alias("n"),
+            F.first("signature").alias("signature"),
+            F.first("bitmap").alias("bitmap"),
+        )
     )
     return settle(sets.withColumn("node", F.monotonically_increasing_id()))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SYMBOLS)
+def _matrix(column: pa.Array, kind: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+
+
+def _bitmaps(column: pa.Array) -> np.ndarray:
+    return _matrix(column, np.uint64, BITMAP // 64)
 
 
 def chunk_keys(matrix: np.ndarray, chunk: int) -> np.ndarray:
@@ -126,7 +161,7 @@ def _enumerate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        matrix = _matrix(batch.column("signature"))
+        matrix = _matrix(batch.column("signature"), np.uint32, SYMBOLS)
         keys = np.concatenate([chunk_keys(matrix, c) for c in range(CHUNKS)], axis=1)
         nodes = batch.column("node").to_numpy()
         yield pa.RecordBatch.from_arrays(
@@ -140,28 +175,68 @@ def _enumerate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shared_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node, chunk, leader) of keys that two nodes or more have, settled.
+    """(key, node, chunk, size) of keys that two nodes or more have, settled.
 
     One shuffle of narrow rows; keys of a single node, the great majority, end here.
     """
     keys = nodes.select("node", "signature").mapInArrow(
         _enumerate, "key long, node long, chunk int"
     )
-    by_key = Window.partitionBy("key").orderBy("node")
-    marked = keys.select(
-        "*",
-        F.first("node").over(by_key).alias("leader"),
-        F.lead("node").over(by_key).alias("_next"),
+    size = F.count("*").over(Window.partitionBy("key")).alias("size")
+    return settle(keys.select("*", size).where("size > 1"))
+
+
+def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [np.frombuffer(s.as_buffer(), np.int64) for s in batch.column("shingles")]
+        if not sets:
+            continue
+        sizes = np.array([len(s) for s in sets], np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate(sets)),
+                pa.array(np.repeat(batch.column("node").to_numpy(), sizes)),
+                pa.array(np.repeat(sizes, sizes)),
+            ],
+            ["key", "node", "n"],
+        )
+
+
+def _rare_keys(docs: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame:
+    """(key, node): the rarest shingles of nodes with too few uncrowded chunks, settled.
+
+    Sets with 100 * intersection >= SIMILARITY * union share one of the first
+    n - ceil(SIMILARITY / 100 * n) + 1 shingles of either, in any common order; the order is
+    by how many of these nodes have a shingle. Shingles of a single node come first and join
+    nothing, therefore they are counted and not kept.
+    """
+    crowded = (
+        shared.where(F.col("size") > CROWD)
+        .groupBy("node")
+        .agg(F.count_distinct("chunk").alias("chunks"))
+        .where(F.col("chunks") > CHUNKS - OPEN_CHUNKS)
+        .select("node")
     )
-    return settle(marked.where("node <> leader or _next is not null").drop("_next"))
+    sets = _sets(docs, nodes, settle(crowded))
+    rows = sets.mapInArrow(_explode, "key long, node long, n long")
+    common = rows.select("*", F.count("*").over(Window.partitionBy("key")).alias("owners"))
+    common = common.where("owners > 1")
+    by_node = Window.partitionBy("node")
+    single = F.col("n") - F.count("*").over(by_node)
+    rank = F.row_number().over(by_node.orderBy("owners", "key"))
+    least = F.floor((F.col("n") * SIMILARITY + 99) / 100)
+    prefix = common.select("key", "node", (single + rank).alias("rank"), least.alias("least"), "n")
+    return settle(prefix.where("rank <= n - least + 1").select("key", "node"))
 
 
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures lie within MAX_DISTANCE."""
+    """Pairs that sizes and bitmaps do not rule out."""
     for batch in batches:
         if batch.num_rows:
-            differ = _matrix(batch.column("sign_a")) != _matrix(batch.column("sign_b"))
-            near = pa.array(differ.sum(axis=1) <= MAX_DISTANCE)
+            a, b = _bitmaps(batch.column("bitmap_a")), _bitmaps(batch.column("bitmap_b"))
+            sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+            near = pa.array(differ <= most_differing(sizes))
             yield batch.select(["a", "b"]).filter(near)
 
 
@@ -169,7 +244,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose whole sets are similar enough."""
     for batch in batches:
         linked = []
-        for x, y in zip(batch.column("set_a"), batch.column("set_b")):
+        for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b")):
             a, b = (np.frombuffer(s.as_buffer(), _U64) for s in (x, y))
             small, large = (a, b) if len(a) <= len(b) else (b, a)
             at = np.searchsorted(large, small)
@@ -191,155 +266,134 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _with_both(pairs: DataFrame, side: DataFrame, value: str, names: tuple[str, str]) -> DataFrame:
-    for end, name in zip(("a", "b"), names):
-        pairs = pairs.join(side.select(F.col("node").alias(end), F.col(value).alias(name)), end)
-    return pairs.select("a", "b", *names)
+def _with_both(pairs: DataFrame, side: DataFrame, *values: str) -> DataFrame:
+    """Pairs (a, b) with the values of both ends, as <value>_a and <value>_b."""
+    for end in ("a", "b"):
+        named = [F.col(v).alias(f"{v}_{end}") for v in values]
+        pairs = pairs.join(side.select(F.col("node").alias(end), *named), end)
+    return pairs
 
 
-def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The candidate pairs (a, b) that are links, settled.
+def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles) of the wanted nodes, settled.
 
-    Texts are read again only for the sets of candidates: the ids of these documents are
-    broadcast if they are few, else joined.
+    Texts are read again for them alone: the ids of their documents are broadcast if they are
+    few, else joined.
     """
-    near = settle(
-        _with_both(pairs.select("a", "b").distinct(), nodes, "signature", ("sign_a", "sign_b"))
-        .mapInArrow(_within, "a long, b long")
-    )
-    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    wanted = settle(nodes.join(ends, "node").select("node", "digest", "least_id"))
-    ids = small_side(settle(wanted.select(F.col("least_id").alias("_wanted")).distinct()))
+    known = settle(nodes.join(wanted, "node").select("node", "digest", "least_id"))
+    ids = small_side(settle(known.select(F.col("least_id").alias("_wanted")).distinct()))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_wanted")), "left_semi")
-    sets = (
-        texts.select("text").mapInArrow(_set_rows, "digest binary, shingles binary")
-        .join(wanted.select("node", "digest"), "digest")
-        .groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return settle(
+        texts.select("text")
+        .mapInArrow(_set_rows, "digest binary, shingles binary")
+        .join(known.select("node", "digest"), "digest")
+        .groupBy("node")
+        .agg(F.first("shingles").alias("shingles"))
     )
-    sets = settle(sets)
-    both = _with_both(near, sets, "shingles", ("set_a", "set_b"))
+
+
+def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) that are links, settled."""
+    both = _with_both(pairs.select("a", "b").distinct(), nodes, "n", "bitmap")
+    near = settle(both.mapInArrow(_within, "a long, b long"))
+    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    both = _with_both(near, _sets(docs, nodes, ends), "shingles")
     return settle(both.mapInArrow(_confirm, "a long, b long"))
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every node with a link; the label is the smallest node it reaches.
+    """(node, label) of every linked node but the smallest of each component, its label.
 
-    Each round takes the neighbours' smallest label and then the label's own label, so the
-    number of rounds grows with the logarithm of a chain's length.
+    Every node takes the smallest smaller neighbour as its parent; parents of parents, doubled
+    until they stand, lead to roots. Links are then drawn between roots, and what is left, far
+    fewer, is treated alike until no link remains.
     """
-    ways = settle(
-        links.select("a", "b").union(links.select("b", "a")).toDF("node", "other").distinct()
-    )
-    labels = settle(
-        ways.groupBy("node").agg(F.min("other").alias("least")).select(
-            "node", F.least("node", "least").alias("label")
-        )
-    )
-    while True:
-        theirs = labels.select(F.col("node").alias("other"), F.col("label").alias("near"))
-        nearest = ways.join(theirs, "other").groupBy("node").agg(F.min("near").alias("near"))
-        stepped = labels.join(nearest, "node").select(
-            "node", "label", F.least("label", "near").alias("step")
-        )
-        roots = labels.select(F.col("node").alias("step"), F.col("label").alias("root"))
-        jumped = settle(
-            stepped.join(roots, "step").select(
-                "node", F.least("step", "root").alias("label"), F.col("label").alias("before")
+    ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    edges = settle(ends.where("a < b").distinct())
+    labels = None
+    while labels is None or not edges.isEmpty():
+        tree = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
+        tree = settle(tree)
+        while True:
+            above = tree.select(F.col("node").alias("up"), F.col("up").alias("top"))
+            jumped = settle(
+                tree.join(above, "up", "left").select(
+                    "node", F.coalesce("top", "up").alias("up"), F.col("top").alias("moved")
+                )
+            )
+            tree = jumped.select("node", "up")
+            if jumped.where("moved is not null").isEmpty():
+                break
+        roots = tree.select(F.col("node").alias("label"), F.col("up").alias("root"))
+        fresh = tree.select("node", F.col("up").alias("label"))
+        if labels is None:
+            labels = fresh
+        else:
+            followed = labels.join(roots, "label", "left").select(
+                "node", F.coalesce("root", "label").alias("label")
+            )
+            labels = settle(followed.union(fresh))
+        for end in ("a", "b"):
+            at = tree.select(F.col("node").alias(end), F.col("up").alias("root"))
+            other = "b" if end == "a" else "a"
+            edges = edges.join(at, end, "left").select(
+                F.coalesce("root", end).alias(end), other
             )
+        edges = settle(
+            edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .where("a < b")
+            .distinct()
         )
-        labels = jumped.select("node", "label")
-        if jumped.where("label < before").isEmpty():
-            return labels
+    return labels
 
 
-def _residual(shared: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of a key that the leaders' links left in different components."""
-    placed = shared.join(labels, "node", "left").select(
-        "key", "node", "chunk", "leader", F.coalesce("label", "node").alias("label")
+def _residual(groups: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs of a key that the links so far left in different components; settled.
+
+    A key's nodes are dealt into blocks of about BLOCK; block i meets block j in the group
+    (i, j), so a task never holds more than about two blocks.
+    """
+    placed = groups.join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label")
     )
     torn = (
         placed.groupBy("key")
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi and size > 2")  # of two nodes, one is the leader
-        .select("key", "size")
-    )
-    # The leader was compared with all of its key.
-    open_rows = settle(placed.where("node <> leader").join(torn, "key").drop("leader"))
-    if open_rows.isEmpty():
-        return open_rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    signs = nodes.select("node", "signature")
-    small = open_rows.where(F.col("size") <= BLOCK).join(signs, "node")
-    large = open_rows.where(F.col("size") > BLOCK).join(signs, "node")
-    split = large.mapInArrow(_second_chunk, "key long, node long, label long, signature binary")
-    rows = small.select("key", "node", "label", "signature").unionByName(split)
-    return _blocks(rows).groupBy("key", "block").applyInArrow(_compare, "a long, b long")
-
-
-def _second_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys made of the key so far and every other chunk's."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        matrix = _matrix(batch.column("signature"))
-        first = batch.column("key").to_numpy().view(_U64)
-        chunk = batch.column("chunk").to_numpy()
-        for other in range(CHUNKS):
-            rows = np.flatnonzero(chunk != other)
-            if not len(rows):
-                continue
-            part = batch.take(pa.array(rows))
-            keys = shingles._mix(chunk_keys(matrix[rows], other) ^ first[rows, None])
-            for k in range(CHUNK_SYMBOLS):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys[:, k].copy().view(np.int64)),
-                        *(part.column(n) for n in ("node", "label", "signature")),
-                    ],
-                    ["key", "node", "label", "signature"],
-                )
-
-
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Every key's nodes dealt into blocks, and a copy for every pair of blocks.
-
-    A key of up to BLOCK nodes is one block. Otherwise block i meets block j in the group
-    (i, j), so a group never holds more than about two blocks.
-    """
-    sizes = rows.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")
+        .where("lo < hi and size > 2")  # of two nodes, one is the smallest
+        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("m"))
     )
-    torn = sizes.where("lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("m"))
     own = F.pmod(F.xxhash64("node"), F.col("m")).cast("int")
-    dealt = settle(rows.join(torn, "key").withColumn("own", own))
-    others = F.sequence(F.lit(0), F.col("m") - 1)
+    dealt = placed.join(torn, "key").join(nodes.select("node", "n", "bitmap"), "node")
+    dealt = dealt.withColumn("own", own)
     block = F.transform(
-        others, lambda o: F.least("own", o) * F.lit(1 << 20) + F.greatest("own", o)
+        F.sequence(F.lit(0), F.col("m") - 1),
+        lambda o: F.least("own", o).cast("long") * F.lit(1 << 20) + F.greatest("own", o),
     )
-    return dealt.select("key", F.explode(block).alias("block"), "own", "node", "label", "signature")
+    met = dealt.select("key", F.explode(block).alias("block"), "own", "node", "label", "n", "bitmap")
+    return settle(met.groupBy("key", "block").applyInArrow(_compare, "a long, b long").distinct())
 
 
 def _compare(group: pa.Table) -> pa.Table:
-    """Pairs of one group in different components whose signatures are near."""
-    nodes = group.column("node").to_numpy()
-    labels = group.column("label").to_numpy()
-    own = group.column("own").to_numpy()
-    block = int(group.column("block")[0].as_py())
-    matrix = _matrix(group.column("signature").combine_chunks())
+    """Pairs of one group in different components that sizes and bitmaps do not rule out."""
+    nodes, labels, own, n = (
+        group.column(c).to_numpy() for c in ("node", "label", "own", "n")
+    )
+    block = group.column("block")[0].as_py()
+    bitmaps = _bitmaps(group.column("bitmap").combine_chunks())
     same_block = block >> 20 == block & ((1 << 20) - 1)
-    found_a, found_b = [], []
-    for k in range(len(nodes)):
+    found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for k in range(len(nodes) - 1):
         rest = slice(k + 1, None)
-        near = (matrix[rest] != matrix[k]).sum(axis=1) <= MAX_DISTANCE
-        near &= labels[rest] != labels[k]
+        open_pair = labels[rest] != labels[k]
         if not same_block:
-            near &= own[rest] != own[k]
-        others = nodes[rest][near]
+            open_pair &= own[rest] != own[k]
+        at = np.flatnonzero(open_pair) + k + 1
+        differ = np.bitwise_count(bitmaps[at] ^ bitmaps[k]).sum(axis=1, dtype=np.int64)
+        others = nodes[at[differ <= most_differing(n[at] + n[k])]]
         found_a.append(np.minimum(others, nodes[k]))
         found_b.append(np.maximum(others, nodes[k]))
-    a = np.concatenate(found_a) if found_a else np.empty(0, np.int64)
-    b = np.concatenate(found_b) if found_b else np.empty(0, np.int64)
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -347,12 +401,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
     found = signed(docs)
     nodes = _nodes(found)
     shared = _shared_keys(nodes)
-    stars = shared.where("node <> leader").select(
-        F.col("leader").alias("a"), F.col("node").alias("b")
+    groups = (
+        shared.where(F.col("size") <= CROWD)
+        .select("key", "node")
+        .union(_rare_keys(docs, nodes, shared))
     )
+    smallest = F.min("node").over(Window.partitionBy("key"))
+    stars = groups.select(smallest.alias("a"), F.col("node").alias("b")).where("a < b")
     links = _links(docs, nodes, stars)
     labels = components(links)
-    more = settle(_residual(shared, labels, nodes).distinct())
+    more = _residual(groups, labels, nodes)
     if not more.isEmpty():
         rest = _links(docs, nodes, more)
         if not rest.isEmpty():
