@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from fallscan.llm.common import settle, small_side
 
 #: Bound of the labelled rows that the classifier is fitted on.
-MAX_LABELLED = 60_000
+MAX_LABELLED = 40_000
 
 #: A term is taken if it occurs in so many toxic texts, so many times as often as in others.
 MIN_SUPPORT = 3
@@ -162,22 +162,22 @@ def _beginnings(text: str) -> set[str]:
     )
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, toxic, clean): texts of a batch with the term, by label."""
-    for batch in batches:
-        counts = {0: Counter(), 1: Counter()}
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            counts[label].update(_beginnings(text or ""))
-        # a term without a toxic text in the batch matters only if another batch has one
-        terms = list(counts[0].keys() | counts[1].keys())
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(terms, pa.string()),
-                pa.array([counts[1][t] for t in terms], pa.int64()),
-                pa.array([counts[0][t] for t in terms], pa.int64()),
-            ],
-            ["term", "toxic", "clean"],
-        )
+def _terms_with(label: int, among: frozenset[str] | None = None):
+    """Counts of (term, texts) per batch over texts of one label, of all terms or of some."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter = Counter()
+            for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
+                if toxic == label:
+                    found = _beginnings(text.as_py() or "")
+                    counts.update(found if among is None else found & among)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+                ["term", "texts"],
+            )
+
+    return run
 
 
 def remainder(doc_id):
@@ -206,7 +206,7 @@ def learn_terms(docs: DataFrame, labelled: DataFrame) -> dict[str, float]:
     """The terms of the folds 2 and 3 with their log lift; copies of a text count once."""
     teaching = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(labelled.where("fold in (2, 3)"), "doc_id")
+        .join(F.broadcast(labelled.where("fold in (2, 3)")), "doc_id")  # at most MAX_LABELLED
         .where("text is not null")
         .groupBy(F.xxhash64("text").alias("text_hash"))
         .agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
@@ -217,19 +217,21 @@ def learn_terms(docs: DataFrame, labelled: DataFrame) -> dict[str, float]:
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
         return {}
-    rate_bad, rate_good = (F.col("toxic") + 0.5) / (bad + 1), (F.col("clean") + 0.5) / (good + 1)
-    counted = (
-        teaching.mapInArrow(_count_terms, "term string, toxic long, clean long")
-        .groupBy("term")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .where(F.col("toxic") >= MIN_SUPPORT)
-        .withColumn("lift", rate_bad / rate_good)
-        .where(F.col("lift") >= MIN_LIFT)
-        .withColumn("weight", F.log("lift"))
-        .orderBy(F.desc(F.col("weight") * F.col("toxic")), "term")
-        .limit(MAX_TERMS)
-    )
-    return {row["term"]: row["weight"] for row in counted.select("term", "weight").collect()}
+
+    def counted(label: int, among: frozenset[str] | None = None) -> DataFrame:
+        rows = teaching.mapInArrow(_terms_with(label, among), "term string, texts long")
+        return rows.groupBy("term").agg(F.sum("texts").alias("texts"))
+
+    # Both results are bounded by the labelled texts.
+    often = counted(1).where(F.col("texts") >= MIN_SUPPORT).collect()
+    clean = dict(counted(0, frozenset(row["term"] for row in often)).collect())
+    weights = {}
+    for term, texts in often:
+        lift = ((texts + 0.5) / (bad + 1)) / ((clean.get(term, 0) + 0.5) / (good + 1))
+        if lift >= MIN_LIFT:
+            weights[term] = (math.log(lift), texts)
+    best = sorted(weights, key=lambda t: (-weights[t][0] * weights[t][1], t))[:MAX_TERMS]
+    return {term: weights[term][0] for term in best}
 
 
 def featured(docs: DataFrame, terms: dict[str, float]) -> DataFrame:
