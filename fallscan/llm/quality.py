@@ -54,14 +54,22 @@ def _hashes(words: Column) -> Column:
 
 
 def _windows(hashes: Column, width: int) -> Column:
-    """A hash of every run of ``width`` elements."""
-    return F.when(
-        F.size(hashes) >= width,
-        F.transform(
-            F.sequence(F.lit(0), F.size(hashes) - width),
-            lambda k: F.xxhash64(*[F.get(hashes, k + step) for step in range(width)]),
-        ),
-    ).otherwise(F.array().cast(_LONGS))
+    """A hash of every run of ``width`` elements.
+
+    The array is bound to a lambda variable, so that it is computed once a row even where the
+    optimizer copies its expression, as it does for a filter on the result.
+    """
+
+    def runs(h: Column) -> Column:
+        return F.when(
+            F.size(h) >= width,
+            F.transform(
+                F.sequence(F.lit(0), F.size(h) - width),
+                lambda k: F.xxhash64(*[F.get(h, k + step) for step in range(width)]),
+            ),
+        ).otherwise(F.array().cast(_LONGS))
+
+    return F.get(F.transform(F.array(hashes), runs), F.lit(0))
 
 
 def _with_grams(rows: DataFrame) -> DataFrame:
@@ -115,10 +123,11 @@ def _with_repeated_words(rows: DataFrame) -> DataFrame:
     placed = F.transform("_windows", lambda h, k: F.struct(h.alias("h"), k.alias("k")))
     rows = rows.withColumn("_placed", F.when(some, F.sort_array(placed))).drop("_windows")
 
-    def same(x: Column, k: Column) -> Column:
-        return F.coalesce(F.get("_placed", k)["h"] == x["h"], F.lit(False))
+    def repeated(p: Column) -> Column:
+        same = lambda x, k: F.coalesce(F.get(p, k)["h"] == x["h"], F.lit(False))
+        return F.filter(p, lambda x, k: same(x, k - 1) | same(x, k + 1))
 
-    repeats = F.filter("_placed", lambda x, k: same(x, k - 1) | same(x, k + 1))
+    repeats = F.get(F.transform(F.array("_placed"), repeated), F.lit(0))
     starts = F.sort_array(F.transform(repeats, lambda x: x["k"]))
     zero = F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n"))
     covered = F.aggregate(
