@@ -1,6 +1,6 @@
 """Licence signatures as ordered rules.
 
-A family is a label, a keyword that any of its matches contains, and a hand-written expression
+A family is a label, one or two keywords of which any of its matches contains one, and a hand-written expression
 for its name. Expressions are matched on *normalised* text: words in lower case, one space
 between them, a space at either end ("apache license version 2 0"). Each family is tried in
 several forms, which differ in priority (1 is best) and confidence.
@@ -11,7 +11,7 @@ from __future__ import annotations
 L = "(?:license|licence)"
 V = "(?:version |ver |v )?v?"
 
-# label | keyword | name. Labels are the public SPDX identifiers in lower case where one exists.
+# label | keyword or two | name. Labels are the public SPDX identifiers in lower case where one exists.
 _FAMILIES = rf"""
 apache-2.0 | apache | (?:the )?apache (?:software )?(?:{L} )?{V}2(?: 0)?(?: {L})?
 apache-1.1 | apache | (?:the )?apache (?:software )?(?:{L} )?{V}1 1(?: {L})?
@@ -25,35 +25,35 @@ bsd-4-clause | bsd | (?:the )?(?:original bsd|old bsd|bsd 4 clause|4 clause bsd|
 bsd | bsd | (?:the )?bsd {L}
 0bsd | bsd | (?:the )?(?:0bsd|bsd zero clause|zero clause bsd)(?: {L})?
 isc | isc | (?:the )?isc {L}
-gpl-1.0 | g | (?:the )?(?:gnu )?(?:general public {L}|gpl) {V}1(?: 0)?(?: only| or later| or any later version)?
-gpl-2.0 | g | (?:the )?(?:gnu )?(?:general public {L}|gpl) (?:as published by the free software foundation either )?{V}2(?: 0)?(?: only)?
-gpl-2.0-or-later | g | (?:the )?(?:gnu )?(?:general public {L}|gpl) (?:as published by the free software foundation either )?{V}2(?: 0)?(?: of the {L})? or (?:at your option )?(?:any )?later(?: version)?
-gpl-3.0 | g | (?:the )?(?:gnu )?(?:general public {L}|gpl) (?:as published by the free software foundation either )?{V}3(?: 0)?(?: only)?
-gpl-3.0-or-later | g | (?:the )?(?:gnu )?(?:general public {L}|gpl) (?:as published by the free software foundation either )?{V}3(?: 0)?(?: of the {L})? or (?:at your option )?(?:any )?later(?: version)?
+gpl-1.0 | general public;gpl | (?:the )?(?:gnu )?(?:general public {L}|gpl) {V}1(?: 0)?(?: only| or later| or any later version)?
+gpl-2.0 | general public;gpl | (?:the )?(?:gnu )?(?:general public {L}|gpl) (?:as published by the free software foundation either )?{V}2(?: 0)?(?: only)?
+gpl-2.0-or-later | general public;gpl | (?:the )?(?:gnu )?(?:general public {L}|gpl) (?:as published by the free software foundation either )?{V}2(?: 0)?(?: of the {L})? or (?:at your option )?(?:any )?later(?: version)?
+gpl-3.0 | general public;gpl | (?:the )?(?:gnu )?(?:general public {L}|gpl) (?:as published by the free software foundation either )?{V}3(?: 0)?(?: only)?
+gpl-3.0-or-later | general public;gpl | (?:the )?(?:gnu )?(?:general public {L}|gpl) (?:as published by the free software foundation either )?{V}3(?: 0)?(?: of the {L})? or (?:at your option )?(?:any )?later(?: version)?
 gpl-2.0 | gpl | gplv2
 gpl-3.0 | gpl | gplv3
-lgpl-2.0 | l | (?:the )?(?:gnu )?(?:library general public {L}|lgpl) {V}2(?: 0)?
-lgpl-2.1 | l | (?:the )?(?:gnu )?(?:lesser general public {L}|lgpl) {V}2 1
-lgpl-3.0 | l | (?:the )?(?:gnu )?(?:lesser general public {L}|lgpl) {V}3(?: 0)?
+lgpl-2.0 | library general;lgpl | (?:the )?(?:gnu )?(?:library general public {L}|lgpl) {V}2(?: 0)?
+lgpl-2.1 | lesser general;lgpl | (?:the )?(?:gnu )?(?:lesser general public {L}|lgpl) {V}2 1
+lgpl-3.0 | lesser general;lgpl | (?:the )?(?:gnu )?(?:lesser general public {L}|lgpl) {V}3(?: 0)?
 lgpl-3.0 | lgpl | lgplv3
 agpl-1.0 | affero | (?:the )?affero general public {L} {V}1(?: 0)?
-agpl-3.0 | a | (?:the )?(?:gnu )?(?:affero general public {L}|affero gpl|agpl) {V}3(?: 0)?
+agpl-3.0 | affero;agpl | (?:the )?(?:gnu )?(?:affero general public {L}|affero gpl|agpl) {V}3(?: 0)?
 agpl-3.0 | agpl | agplv3
 gfdl-1.1 | free documentation | (?:the )?gnu free documentation {L} {V}1 1
 gfdl-1.2 | free documentation | (?:the )?gnu free documentation {L} {V}1 2
 gfdl-1.3 | free documentation | (?:the )?gnu free documentation {L} {V}1 3
 gfdl | free documentation | (?:the )?gnu free documentation {L}
-mpl-1.0 | m | (?:the )?(?:mozilla public {L}|mpl) {V}1 0
-mpl-1.1 | m | (?:the )?(?:mozilla public {L}|mpl) {V}1 1
-mpl-2.0 | m | (?:the )?(?:mozilla public {L}|mpl) {V}2(?: 0)?
-epl-1.0 | e | (?:the )?(?:eclipse public {L}|epl) {V}1(?: 0)?
-epl-2.0 | e | (?:the )?(?:eclipse public {L}|epl) {V}2(?: 0)?
+mpl-1.0 | mozilla;mpl | (?:the )?(?:mozilla public {L}|mpl) {V}1 0
+mpl-1.1 | mozilla;mpl | (?:the )?(?:mozilla public {L}|mpl) {V}1 1
+mpl-2.0 | mozilla;mpl | (?:the )?(?:mozilla public {L}|mpl) {V}2(?: 0)?
+epl-1.0 | eclipse;epl | (?:the )?(?:eclipse public {L}|epl) {V}1(?: 0)?
+epl-2.0 | eclipse;epl | (?:the )?(?:eclipse public {L}|epl) {V}2(?: 0)?
 cpl-1.0 | common public | (?:the )?common public {L} {V}1(?: 0)?
 ipl-1.0 | ibm public | (?:the )?ibm public {L} {V}1(?: 0)?
-cddl-1.0 | c | (?:the )?(?:common development and distribution {L}|cddl) {V}1 0
-cddl-1.1 | c | (?:the )?(?:common development and distribution {L}|cddl) {V}1 1
-eupl-1.1 | e | (?:the )?(?:european union public {L}|eupl) {V}1 1
-eupl-1.2 | e | (?:the )?(?:european union public {L}|eupl) {V}1 2
+cddl-1.0 | common development;cddl | (?:the )?(?:common development and distribution {L}|cddl) {V}1 0
+cddl-1.1 | common development;cddl | (?:the )?(?:common development and distribution {L}|cddl) {V}1 1
+eupl-1.1 | european union;eupl | (?:the )?(?:european union public {L}|eupl) {V}1 1
+eupl-1.2 | european union;eupl | (?:the )?(?:european union public {L}|eupl) {V}1 2
 osl-2.1 | open software | (?:the )?open software {L} {V}2 1
 osl-3.0 | open software | (?:the )?open software {L} {V}3(?: 0)?
 afl-2.1 | academic free | (?:the )?academic free {L} {V}2 1
@@ -93,7 +93,7 @@ sleepycat | sleepycat | (?:the )?sleepycat {L}
 ijg | jpeg group | (?:the )?independent jpeg group {L}
 hpnd | historical permission | (?:the )?historical permission notice and disclaimer
 beerware | beer | (?:the )?(?:beerware|beer ware) {L}
-wtfpl | f | (?:the )?(?:do what the fuck you want to public {L}|wtfpl)
+wtfpl | do what the;wtfpl | (?:the )?(?:do what the fuck you want to public {L}|wtfpl)
 unlicense | unlicen | (?:the )?unlicen[sc]e
 json | json | (?:the )?json {L}
 ofl-1.1 | sil open font | (?:the )?sil open font {L}(?: {V}1 1)?
@@ -131,6 +131,7 @@ _CC_KINDS = (
     ("by-nc-sa", "by nc sa|attribution non ?commercial share ?alike"),
     ("by-nc-nd", "by nc nd|attribution non ?commercial no ?deriv(?:s|ative|atives)?(?: works)?"),
 )
+_CC = "creative commons; cc "
 _CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
 _GRANT = (
@@ -149,8 +150,8 @@ def families() -> list[tuple[str, str, str]]:
         for version in _CC_VERSIONS:
             spoken = version.replace(".", " ")
             name = f"(?:creative commons |cc )(?:{names})(?: {L})?(?: {V}| ){spoken}(?: international| unported| generic)?"
-            rows.append((f"cc-{kind}-{version}", "c", name))
-        rows.append((f"cc-{kind}", "c", f"(?:creative commons |cc )(?:{names})(?: {L})?"))
+            rows.append((f"cc-{kind}-{version}", _CC, name))
+        rows.append((f"cc-{kind}", _CC, f"(?:creative commons |cc )(?:{names})(?: {L})?"))
     return rows
 
 

@@ -69,7 +69,11 @@ def intervals(text: Column, pattern: Column) -> Column:
     """
     pieces = F.transform(F.split(text, pattern, -1), F.length)
     matches = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length)
-    steps = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("gap"), m.alias("len")))
+    # the last piece has no match behind it
+    steps = F.filter(
+        F.zip_with(pieces, matches, lambda p, m: F.struct(p.alias("gap"), m.alias("len"))),
+        lambda s: s["len"].isNotNull(),
+    )
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,stop:int>>").alias("all"))
 
     def step(state: Column, x: Column) -> Column:
@@ -86,7 +90,8 @@ def _rule_table() -> Column:
         *[
             F.struct(
                 F.lit(priority).alias("priority"), F.lit(order).alias("order"),
-                F.lit(label).alias("label"), F.lit(keyword).alias("keyword"),
+                F.lit(label).alias("label"), F.lit(keyword.split(";")[0]).alias("keyword"),
+                F.lit(keyword.split(";")[-1]).alias("or_keyword"),
                 F.lit(expression).alias("expression"), F.lit(confidence).alias("confidence"),
             )
             for order, (priority, label, keyword, expression, confidence) in enumerate(rules())
@@ -96,7 +101,10 @@ def _rule_table() -> Column:
 
 def _detections(normal: Column) -> Column:
     """Unsuppressed matches of all rules whose keyword occurs."""
-    tried = F.filter(_rule_table(), lambda r: F.contains(normal, r["keyword"]))
+    tried = F.filter(
+        _rule_table(),
+        lambda r: F.contains(normal, r["keyword"]) | F.contains(normal, r["or_keyword"]),
+    )
 
     def matches(r: Column) -> Column:
         return F.transform(
