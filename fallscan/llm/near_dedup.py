@@ -17,10 +17,9 @@ exactly: similar sets share one of their rarest shingles, counted over all these
 (prefix filter; Chaudhuri, Ganti, Kaushik: A Primitive Operator for Similarity Joins, ICDE 2006).
 
 Work per group is not quadratic. Documents with equal sets are one node. A key's nodes are
-first compared with its smallest node only; confirmed links join them to components. In a few
-further rounds every key draws another leader of its own, so that copies of one original, which
-need not be similar to each other, are joined through several leaders. Then only nodes of a key
-still in different components are compared, all of them, in blocks. Before sets are fetched, a
+first compared with a few leaders only, since copies of one original need not be similar to each
+other; confirmed links join them to components. Then only nodes of a key that are still in
+different components are compared, all of them, in blocks. Before sets are fetched, a
 bitmap of parities rejects pairs: it differs in no more bits than the sets differ in shingles,
 so it never rejects a link.
 
@@ -55,9 +54,10 @@ BITMAP = 2048
 #: The similarity that links: 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 75
 
-#: Rounds of further leaders before the nodes of different components are compared in full. It
-#: steers work only: what the rounds do not join is compared exactly.
-LEADER_ROUNDS = 3
+#: Leaders of a key beside its smallest node, and salts by which they are drawn. They steer work
+#: only: what the leaders do not join is compared exactly.
+LEADERS = 2
+SALTS = 8
 
 #: Nodes of one key that one task compares with each other or with another block.
 BLOCK = 512
@@ -356,31 +356,21 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def _placed(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, node, label): the nodes of each key with their components so far."""
-    return groups.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label")
-    )
-
+def _leader_pairs(groups: DataFrame) -> DataFrame:
+    """(a, b): the leaders of each key with its other nodes.
 
-def _leader_pairs(groups: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """(a, b): a leader of each key and the key's nodes outside its component.
-
-    The leader is drawn by a hash of turn, key and node, so keys of one large group have
-    different leaders. One row per row of ``groups`` at most.
+    One leader is the smallest node. LEADERS more are those with the least hash of node and a
+    salt; the salts follow from the key and are few, so keys of the same nodes repeat the same
+    pairs, while one large group is met by many leaders.
     """
-    placed = _placed(groups, labels)
-    drawn = F.min_by(F.struct("node", "label"), F.xxhash64(F.lit(turn), "key", "node"))
-    heads = (
-        placed.groupBy("key")
-        .agg(drawn.alias("head"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi and size > 2")  # of two nodes, one is the smallest
-        .select("key", F.col("head.node").alias("lead"), F.col("head.label").alias("lead_label"))
-    )
-    open_nodes = placed.join(heads, "key").where("label <> lead_label")
-    return open_nodes.select(
-        F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")
-    )
+    at_key = Window.partitionBy("key")
+    heads = [F.min("node").over(at_key)]
+    for turn in range(LEADERS):
+        salt = F.pmod(F.col("key") + turn, F.lit(SALTS))
+        heads.append(F.min_by("node", F.xxhash64(salt, "node")).over(at_key))
+    led = groups.select("node", F.array_distinct(F.array(*heads)).alias("heads"))
+    pairs = led.select("node", F.explode("heads").alias("lead")).where("node <> lead")
+    return pairs.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
 
 
 def _residual(groups: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -389,11 +379,13 @@ def _residual(groups: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFra
     A key's nodes are dealt into blocks of about BLOCK; block i meets block j in the group
     (i, j), so a task never holds more than about two blocks.
     """
-    placed = _placed(groups, labels)
+    placed = groups.join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label")
+    )
     torn = (
         placed.groupBy("key")
         .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi and size > 2")  # of two nodes, one is the smallest
+        .where("lo < hi and size > 2")  # of two nodes, one is a leader
         .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("m"))
     )
     own = F.pmod(F.xxhash64("node"), F.col("m")).cast("int")
@@ -439,16 +431,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .select("key", "node")
         .union(_rare_keys(docs, nodes, shared))
     )
-    smallest = F.min("node").over(Window.partitionBy("key"))
-    stars = groups.select(smallest.alias("a"), F.col("node").alias("b")).where("a < b")
-    links = _links(docs, nodes, stars)
+    links = _links(docs, nodes, _leader_pairs(groups))
     labels = components(links)
-    for turn in range(LEADER_ROUNDS):
-        fresh = _links(docs, nodes, _leader_pairs(groups, labels, turn))
-        if fresh.isEmpty():
-            break
-        links = links.union(fresh)
-        labels = components(links)
     more = _residual(groups, labels, nodes)
     if not more.isEmpty():
         rest = _links(docs, nodes, more)
