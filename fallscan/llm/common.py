@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The white space of the contracts, as a regular expression and as characters.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -20,6 +20,10 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 #: three longs, stay below this number (about 64 MB); above it the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
+#: The same bound for rows of any width, in bytes, and what a row costs beside its values.
+BROADCAST_BYTES = 64 << 20
+ROW_OVERHEAD = 64
+
 _PACKAGE_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -65,6 +69,12 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def broadcast_bytes(df: DataFrame, row_bytes: Column) -> DataFrame:
+    """A broadcast hint if the rows of the settled ``df``, so many bytes each, measure few in all."""
+    total = df.agg(F.sum(row_bytes + ROW_OVERHEAD)).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """A number of hash buckets that grows with the rows; never below the reducers'."""
     reducers = int(spark.conf.get("spark.sql.shuffle.partitions"))

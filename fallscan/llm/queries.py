@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fallscan.llm import (
     bpe,
+    conversation_trie,
     exact_dedup,
+    filter_audit,
     licenses,
     mixing,
     near_dedup,
@@ -18,6 +20,7 @@ from fallscan.llm import (
     sharding,
     token_counts,
     toxicity,
+    url_reputation,
 )
 from fallscan.llm.common import table
 
@@ -70,6 +73,19 @@ def op10_form_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return url_reputation.judge(pages, labels).drop("host_mean", "host_upper")
+
+
+def op13_removal_potential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_rules,
         op9_credential_linking,
         op10_form_likelihood,
+        op11_conversation_trie,
+        op12_host_reputation,
+        op13_removal_potential,
     )
 }
 
@@ -99,4 +118,7 @@ SELECT doc_id,
        h AS text_sha256
 FROM hashed
 """,
+    "op11_conversation_trie": conversation_trie.ORACLE_SQL,
+    "op12_host_reputation": url_reputation.ORACLE_SQL,
+    "op13_removal_potential": filter_audit.ORACLE_SQL,
 }

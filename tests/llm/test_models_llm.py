@@ -158,6 +158,6 @@ def test_pipeline_stages(spark, sf_dir, tmp_path):
         sizes.append(docs.count())
         assert docs.columns == columns or k == len(cp.STAGES) - 1
     assert sizes[0] >= sizes[1] > sizes[2] >= sizes[3] and sizes[5] == sizes[4]
-    assert len(cp.STAGES) == 5 and {f"op{n}" for n in range(1, 11)} == {
+    assert len(cp.STAGES) == 5 and {f"op{n}" for n in range(1, 14)} == {
         name.split("_")[0] for name in driver.queries() if name.startswith("op")
     }
