@@ -47,6 +47,11 @@ def crash_period(asof: DateLike, weekdays: int = 5) -> tuple[Column, Column]:
     return weekday_back(latest, weekdays), latest
 
 
+def most_days(length: int, unit: str) -> int:
+    """A bound of the days that a load from ``load_start`` to the as-of day has."""
+    return {"month": 31 * length, "day": length, "weekday": 2 * length + 4}[unit] + 1
+
+
 def load_start(asof: DateLike, length: int, unit: str) -> Column:
     """First day to load for a history of ``length`` months, days or weekdays.
 

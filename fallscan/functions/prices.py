@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def null_if_nan(value: Column) -> Column:
+    return F.when(~F.isnan(value), value)
+
+
 def price() -> Column:
-    """The price every test looks at."""
-    return F.col("adj_close")
+    """The price every test looks at; NaN is no price."""
+    return null_if_nan(F.col("adj_close"))
 
 
 def day() -> Column:
@@ -15,7 +19,7 @@ def day() -> Column:
 
 
 def dollar_volume() -> Column:
-    return price() * F.col("volume")
+    return null_if_nan(price() * F.col("volume"))
 
 
 def percent_of(part: Column, whole: Column) -> Column:
@@ -23,10 +27,6 @@ def percent_of(part: Column, whole: Column) -> Column:
     return F.try_divide(part, whole) * 100
 
 
-def null_if_nan(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
-
-
 def _keyed(value: Column, at: Column) -> Column:
     # The price is the sort key, the day breaks ties towards the earliest date.
     # A missing price gives a null struct, which min() skips.

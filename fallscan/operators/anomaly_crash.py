@@ -6,8 +6,9 @@ calendar days after it. Two forms are offered and give equal results:
 * ``flag_drops`` / ``anomaly_crashes``: window functions over the bars, behind
   the same single shuffle as the outlier score. This is the default.
 * ``window_join``: a range join, for outliers that come from elsewhere. It is
-  keyed by ticker *and* a block of calendar days, so each bar meets only the
-  outliers of its own block, and a long series is spread over many tasks.
+  keyed by ticker *and* a bin of calendar days, so each bar meets only the
+  outliers nearby, and a long series is spread over many tasks. Bins come in several
+  widths, so a window of many years is a few wide bins instead of many narrow ones.
 """
 
 from __future__ import annotations
@@ -15,16 +16,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fallscan.functions.calendar import DateLike, as_date
-from fallscan.functions.prices import day, high_point, low_point, percent_of, price
-from fallscan.operators.outliers import ANOMALY_FIELDS, CONTAMINATION, with_scores
+from fallscan.functions.prices import (
+    day, high_point, low_point, null_if_nan, percent_of, price,
+)
+from fallscan.operators.outliers import ANOMALY_FIELDS, CONTAMINATION, WHOLE, scored_series
 from fallscan.operators.series import SERIES_FIELDS, ahead, earlier, rank, usable, with_series
+from fallscan.operators.spans import ahead_extremes
 
 # Percent a price has to fall, and days to look ahead.
 DROP_PERC = 30.0
 DAYS_AFTER = 2
 
-#: Calendar days per block of the range join. It affects speed only.
+#: Calendar days of the look-ahead up to which a window's frame is read for every bar; wider
+#: ones take extremes that run over blocks, at a cost that does not depend on the days.
+WIDE_FRAME = 16
+
+#: Calendar days of the smallest bin of the range join, and how many bins of a level make one of
+#: the next. They affect speed only.
 BLOCK_DAYS = 32
+BIN_FACTOR = 8
+BIN_LEVELS = 4
 
 WINDOW_FIELDS = [
     "period_end_date", "period_max_diff", "period_percent_max_diff",
@@ -45,7 +56,7 @@ def with_change(scored: DataFrame, price_col: str = "close") -> DataFrame:
     The default mixes an unadjusted with an adjusted price, as the analysis this
     library re-expresses does; ``price_col="adj_close"`` compares like with like.
     """
-    change = F.col(price_col) - F.col("prev_close")
+    change = null_if_nan(F.col(price_col)) - F.col("prev_close")
     return scored.withColumns(
         {
             "close_diff": change,
@@ -74,22 +85,25 @@ def _with_windows(series: DataFrame, days_after: int) -> DataFrame:
     sort that is there anyway suffices.
     """
     columns = series.columns
+    points = {"_low": low_point(price(), day()), "_high": high_point(price(), day())}
 
-    def extreme(point: Column) -> Column:
-        since_previous = F.min(
+    def since_previous(point: Column) -> Column:
+        run = F.min(
             F.when(
                 point.isNotNull(),
                 F.struct((-rank()).alias("recent"), point["key"].alias("key"), point["day"].alias("day")),
             )
         ).over(earlier())
-        before = F.struct(since_previous["key"].alias("key"), since_previous["day"].alias("day"))
-        return F.least(
-            F.when(since_previous.isNotNull(), before), F.min(point).over(ahead(days_after))
-        )
-
-    points = series.withColumns(
-        {"_low": extreme(low_point(price(), day())), "_high": extreme(high_point(price(), day()))}
-    )
+        before = F.struct(run["key"].alias("key"), run["day"].alias("day"))
+        return F.when(run.isNotNull(), before)
+
+    before = {f"_before{p}": since_previous(c) for p, c in points.items()}
+    if days_after > WIDE_FRAME:
+        placed = ahead_extremes(series.withColumns(before), days_after)
+    else:
+        after = {p: F.min(c).over(ahead(days_after)) for p, c in points.items()}
+        placed = series.withColumns(before | after)
+    points = placed.withColumns({p: F.least(f"_before{p}", p) for p in points})
     has_window = usable() & F.col("prev_date").isNotNull()
     measured = _window_columns(F.col("_low"), F.col("_high"))
     return points.select(
@@ -115,9 +129,13 @@ def flag_drops(
     contamination: float = CONTAMINATION,
     drop_perc: float = DROP_PERC,
     days_after: int = DAYS_AFTER,
+    longest: int | None = None,
+    model: str = WHOLE,
 ) -> DataFrame:
-    """All bars with outlier score, window and ``is_crash``."""
-    scored = with_scores(_with_windows(with_series(bars), days_after), contamination)
+    """All bars with outlier score, window and ``is_crash``; see ``scored_series``."""
+    scored = scored_series(
+        bars, contamination, longest, model, lambda series: _with_windows(series, days_after)
+    )
     return scored.select(
         *bars.columns,
         *ANOMALY_FIELDS,
@@ -148,9 +166,12 @@ def anomaly_crashes(
     drop_perc: float = DROP_PERC,
     days_after: int = DAYS_AFTER,
     price_col: str = "close",
+    longest: int | None = None,
+    model: str = WHOLE,
 ) -> DataFrame:
     """Score, flag and test in one pass over the bars."""
-    return crash_rows(flag_drops(bars, contamination, drop_perc, days_after), price_col)
+    flagged = flag_drops(bars, contamination, drop_perc, days_after, longest, model)
+    return crash_rows(flagged, price_col)
 
 
 def _is_recent(asof: DateLike, max_days_in_past: int) -> Column:
@@ -172,8 +193,36 @@ def only_recent(flagged: DataFrame, asof: DateLike, max_days_in_past: int) -> Da
 # ---- range-join form -------------------------------------------------------------
 
 
-def _block(date: Column, block_days: int) -> Column:
-    return F.floor(F.unix_date(date) / F.lit(block_days))
+def _bin(date: Column, level: int, block_days: int) -> Column:
+    return F.floor(F.unix_date(date) / F.lit(block_days * BIN_FACTOR**level))
+
+
+def _bins(first: Column, last: Column, block_days: int = BLOCK_DAYS) -> Column:
+    """Bins (level, number) that cover the days from ``first`` to ``last``, each day once.
+
+    At every level the bins left and right of the aligned middle are taken, fewer than
+    ``2 * BIN_FACTOR``; the middle goes on to the next level, where a bin is ``BIN_FACTOR`` times as wide.
+    """
+
+    def numbered(level: int):
+        return lambda number: F.struct(F.lit(level).alias("level"), number.alias("number"))
+
+    low, high = _bin(first, 0, block_days), _bin(last, 0, block_days)
+    taken = []
+    for level in range(BIN_LEVELS):
+        up_low = F.ceil(low / F.lit(BIN_FACTOR))
+        up_high = F.floor((high + 1) / F.lit(BIN_FACTOR)) - 1
+        whole = F.lit(level == BIN_LEVELS - 1) | (up_low > up_high)
+        left = F.when(whole, high).otherwise(up_low * BIN_FACTOR - 1)
+        right = F.when(whole, high + 1).otherwise((up_high + 1) * BIN_FACTOR)
+        for start, end in ((low, left), (right, high)):
+            numbers = F.when(start <= end, F.sequence(start, end)).otherwise(
+                F.array().cast("array<bigint>")
+            )
+            taken.append(F.transform(numbers, numbered(level)))
+        low = F.when(~whole, up_low).otherwise(1)
+        high = F.when(~whole, up_high).otherwise(0)
+    return F.concat(*taken)
 
 
 def window_join(
@@ -185,27 +234,30 @@ def window_join(
     """Every outlier day with each bar of its window.
 
     ``outliers`` needs ``ticker, trade_date, prev_date``; further columns are kept.
-    An outlier without a preceding bar has no window.
+    An outlier without a preceding bar has no window. A bar lies in one bin of each level, a window
+    is cut into few bins of several levels, however long the gap before its day is.
     """
     end = F.date_add("anomaly_date", days_after)
-    first, last = _block(F.col("prev_date"), block_days), _block(end, block_days)
     left = (
         outliers.where(F.col("prev_date").isNotNull())
         .withColumnRenamed("trade_date", "anomaly_date")
         .withColumn("period_end_date", end)
-        .withColumn("_block", F.explode(F.sequence(first, last)))
-    )
-    right = bars.select(
-        "ticker", "trade_date", "adj_close", _block(day(), block_days).alias("_block")
+        .withColumn("_bin", F.explode(_bins(F.col("prev_date"), end, block_days)))
     )
+    levels = [
+        F.struct(F.lit(k).alias("level"), _bin(day(), k, block_days).alias("number"))
+        for k in range(BIN_LEVELS)
+    ]
+    right = bars.select("ticker", "trade_date", "adj_close", F.explode(F.array(*levels)).alias("_bin"))
     in_window = F.col("o.prev_date") <= F.col("b.trade_date")
     in_window &= F.col("b.trade_date") <= F.col("o.period_end_date")
-    same_block = F.col("o.ticker") == F.col("b.ticker")
-    same_block &= F.col("o._block") == F.col("b._block")
-    kept = [c for c in left.columns if c not in ("_block", "adj_close")]
+    same_bin = F.col("o.ticker") == F.col("b.ticker")
+    same_bin &= F.col("o._bin.number") == F.col("b._bin.number")
+    same_bin &= F.col("o._bin.level") == F.col("b._bin.level")
+    kept = [c for c in left.columns if c not in ("_bin", "adj_close")]
     return (
         left.alias("o")
-        .join(right.alias("b"), same_block & in_window, "inner")
+        .join(right.alias("b"), same_bin & in_window, "inner")
         .select(*[F.col(f"o.{c}") for c in kept], "b.trade_date", "b.adj_close")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fallscan.functions.prices import dollar_volume
+from fallscan.functions.prices import dollar_volume, price
 
 #: Priced bars a ticker needs: two for the window test (a single price cannot
 #: fall), one for the outlier test.
@@ -13,7 +13,7 @@ MIN_BARS_OUTLIER = 1
 
 
 def priced_bars() -> Column:
-    return F.count("adj_close")
+    return F.count(price())
 
 
 def ticker_quality(bars: DataFrame, min_bars: int = MIN_BARS_WINDOW) -> DataFrame:

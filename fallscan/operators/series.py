@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from fallscan.functions.prices import price
 from fallscan.operators.quality import with_dollar_volume
 
 # Days as integers in a column of their own: range frames count in them, and
@@ -26,6 +27,11 @@ def series() -> WindowSpec:
     return by_ticker().orderBy(_DAY)
 
 
+def whole() -> WindowSpec:
+    """All bars of the ticker, in the order that the other windows need anyway."""
+    return series().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
 def earlier() -> WindowSpec:
     """All bars before this one."""
     return series().rowsBetween(Window.unboundedPreceding, -1)
@@ -44,6 +50,10 @@ def rank() -> Column:
     return F.col(_RANK)
 
 
+def with_day(bars: DataFrame) -> DataFrame:
+    return bars if _DAY in bars.columns else bars.withColumn(_DAY, F.unix_date("trade_date"))
+
+
 def with_series(bars: DataFrame) -> DataFrame:
     """Add ``SERIES_FIELDS``, and helper columns that start with an underscore.
 
@@ -53,12 +63,10 @@ def with_series(bars: DataFrame) -> DataFrame:
     """
     so_far = series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        with_dollar_volume(bars)
-        .withColumn(_DAY, F.unix_date("trade_date"))
-        .withColumns(
+        with_day(with_dollar_volume(bars)).withColumns(
             {
                 "prev_date": F.last(F.when(usable(), F.col("trade_date")), True).over(earlier()),
-                "prev_close": F.last(F.when(usable(), F.col("adj_close")), True).over(earlier()),
+                "prev_close": F.last(F.when(usable(), price()), True).over(earlier()),
                 _RANK: F.count("volume_close").over(so_far),
             }
         )

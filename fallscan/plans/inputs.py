@@ -64,6 +64,13 @@ def _bar_fields(price: str, adj_close: Column) -> list[Column]:
     ]
 
 
+def days_spanned(rows: DataFrame, ts: str) -> int:
+    """Days from the first to the last timestamp, a bound of any series' length; runs a job
+    over this one column."""
+    first, last = rows.agg(F.to_date(F.min(ts)), F.to_date(F.max(ts))).first()
+    return 0 if first is None else (last - first).days + 1
+
+
 def event_bars(
     spark: SparkSession, sf_dir: str, first: DateLike | None = None, last: DateLike | None = None,
     gappy: bool = False,
@@ -171,6 +178,15 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ticker, market) of the longer series: the supplier's nation."""
+    suppliers = table(spark, sf_dir, "supplier")
+    return suppliers.select(
+        ticker_of(F.col("s_suppkey"), "S").alias("ticker"),
+        F.col("s_nationkey").cast("string").alias("market"),
+    )
+
+
 def load_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated loads: each day counts as a load that delivers the priced tickers."""
     priced = event_bars(spark, sf_dir, gappy=True).where(F.col("adj_close").isNotNull())

@@ -116,12 +116,68 @@ scored AS (
   JOIN thresholds t ON t.ticker = u.ticker)"""
 
 
-def _windows(source: str, of: str) -> str:
+#: Levels of a tree on up to 32 rows; the bars made from events have at most 31 days.
+_TREE_LEVELS = 5
+
+
+def _forest(source: str) -> str:
+    """CTEs usable and scored: expected path lengths of limited trees, node by node."""
+    level = """p{h} AS (
+  SELECT ticker, i, j, sum(p) AS p FROM (
+    SELECT p.ticker, p.i, g.k AS j, p.p * g.width / (hi.v - lo.v) AS p
+    FROM p{b} p JOIN lv lo ON lo.ticker = p.ticker AND lo.k = p.i
+    JOIN lv hi ON hi.ticker = p.ticker AND hi.k = p.j
+    JOIN lv g ON g.ticker = p.ticker AND g.k >= p.i AND g.k < p.j
+    UNION ALL
+    SELECT p.ticker, g.k + 1, p.j, p.p * g.width / (hi.v - lo.v)
+    FROM p{b} p JOIN lv lo ON lo.ticker = p.ticker AND lo.k = p.i
+    JOIN lv hi ON hi.ticker = p.ticker AND hi.k = p.j
+    JOIN lv g ON g.ticker = p.ticker AND g.k >= p.i AND g.k < p.j)
+  GROUP BY ALL)"""
+    levels = ",\n".join(level.format(h=h, b=h - 1) for h in range(1, _TREE_LEVELS + 1))
+    every = " UNION ALL ".join(f"SELECT *, {h} AS h FROM p{h}" for h in range(_TREE_LEVELS + 1))
+    return f"""usable AS (
+  SELECT *, adj_close * volume AS volume_close,
+         lag(trade_date) OVER (PARTITION BY ticker ORDER BY trade_date) AS prev_date,
+         lag(adj_close) OVER (PARTITION BY ticker ORDER BY trade_date) AS prev_close,
+         count(*) OVER (PARTITION BY ticker) AS n
+  FROM {source} WHERE adj_close * volume IS NOT NULL),
+lv AS (
+  SELECT ticker, volume_close AS v, count(*) AS times, any_value(n) AS n,
+         row_number() OVER (PARTITION BY ticker ORDER BY volume_close) AS k,
+         lead(volume_close) OVER (PARTITION BY ticker ORDER BY volume_close) - volume_close AS width
+  FROM usable WHERE n >= 2 GROUP BY ticker, volume_close),
+trees AS (
+  SELECT ticker, max(k) AS m, ceil(log2(any_value(n)))::INTEGER AS tallest FROM lv GROUP BY ticker),
+p0 AS (SELECT ticker, 1 AS i, m AS j, 1.0::DOUBLE AS p FROM trees),
+{levels},
+sized AS (
+  SELECT p.ticker, p.i, p.j, p.p, p.h, t.tallest, sum(l.times) AS n
+  FROM ({every}) p JOIN trees t ON t.ticker = p.ticker AND p.h <= t.tallest
+  JOIN lv l ON l.ticker = p.ticker AND l.k BETWEEN p.i AND p.j GROUP BY ALL),
+worths AS (
+  SELECT ticker, i, j, sum(p * CASE
+           WHEN i < j AND h < tallest THEN 1.0 WHEN n <= 1 THEN 0.0 WHEN n = 2 THEN 1.0
+           ELSE 2 * (ln(n - 1) + 0.5772156649015329) - 2 * (n - 1) / n END) AS w
+  FROM sized GROUP BY ALL),
+depths AS (
+  SELECT u.ticker, u.trade_date, round(sum(w.w), 6) AS isolation_depth
+  FROM usable u JOIN lv l ON l.ticker = u.ticker AND l.v = u.volume_close
+  JOIN worths w ON w.ticker = l.ticker AND l.k BETWEEN w.i AND w.j GROUP BY ALL),
+thresholds AS (
+  SELECT ticker, quantile_cont(isolation_depth, 0.1) AS t FROM depths GROUP BY ticker),
+scored AS (
+  SELECT u.* EXCLUDE (n), d.isolation_depth, d.isolation_depth < t.t AS is_anomaly
+  FROM usable u JOIN depths d ON u.ticker = d.ticker AND u.trade_date = d.trade_date
+  JOIN thresholds t ON t.ticker = u.ticker)"""
+
+
+def _windows(source: str, of: str, days: int = 2) -> str:
     """CTEs joined and drops: windows of the rows of ``of`` over ``source``."""
     return f"""joined AS (
   SELECT a.ticker, a.trade_date AS anomaly_date, b.trade_date, b.adj_close
   FROM {of} a JOIN {source} b ON a.ticker = b.ticker
-   AND b.trade_date BETWEEN a.prev_date AND a.trade_date + 2),
+   AND b.trade_date BETWEEN a.prev_date AND a.trade_date + {days}),
 drops AS (
   SELECT ticker, anomaly_date, min(adj_close) - max(adj_close) AS period_max_diff,
          (min(adj_close) - max(adj_close)) / nullif(max(adj_close), 0) * 100
@@ -193,6 +249,50 @@ def _outlier_stats(tables: str, source: str) -> str:
             UNION ALL {_SET_STEP.format(stat="crashes_detected", keys="crashes")}"""
 
 
+#: As-of days with the weekday window before them.
+_ASOF_WINDOWS = """asofs AS (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS asof_date,
+         CASE WHEN isodow(o_orderdate) = 1 THEN CAST(o_orderdate AS DATE) - 3
+              ELSE CAST(o_orderdate AS DATE) - 1 END AS last_day FROM orders),
+back AS (
+  SELECT asof_date, last_day - i::INTEGER AS d FROM asofs CROSS JOIN generate_series(1, 12) AS s(i)),
+windows AS (
+  SELECT a.asof_date, b.d AS first_day, a.last_day, NULL AS market
+  FROM asofs a JOIN (
+    SELECT asof_date, d, row_number() OVER (PARTITION BY asof_date ORDER BY d DESC) AS k
+    FROM back WHERE isodow(d) <= 5) b ON b.asof_date = a.asof_date AND b.k = 5)"""
+
+_SESSIONS = f"""{LONG}, markets AS (
+  SELECT {_ticker("s_suppkey", "S")} AS ticker, s_nationkey::VARCHAR AS market FROM supplier),
+days AS (
+  SELECT DISTINCT market, trade_date AS session_date FROM bars_long JOIN markets USING (ticker)),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY market ORDER BY session_date) AS session_no FROM days),
+asofs AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS asof_date FROM orders),
+before AS (
+  SELECT n.market, a.asof_date, max(n.session_no) AS latest
+  FROM asofs a JOIN numbered n ON n.session_date < a.asof_date GROUP BY ALL),
+windows AS (
+  SELECT b.market, b.asof_date, f.session_date AS first_day, l.session_date AS last_day
+  FROM before b JOIN numbered l ON l.market = b.market AND l.session_no = b.latest
+  JOIN numbered f ON f.market = b.market AND f.session_no = b.latest - {r.SESSIONS_BACK})"""
+
+
+def _every_day(tables: str, market: str, today: str) -> str:
+    return f"""WITH {tables}, inside AS (
+  SELECT b.ticker, w.asof_date, w.first_day, w.last_day, b.trade_date, b.adj_close
+  FROM bars_long b {market} JOIN windows w
+    ON b.trade_date BETWEEN w.first_day AND w.last_day {"AND w.market = m.market" if market else ""}
+  WHERE b.adj_close IS NOT NULL),
+points AS (
+  SELECT ticker, asof_date, first_day, last_day, min(adj_close) AS min_price,
+         first(trade_date ORDER BY adj_close, trade_date) AS min_date, max(adj_close) AS max_price,
+         first(trade_date ORDER BY adj_close DESC, trade_date) AS max_date
+  FROM inside GROUP BY ALL)
+SELECT *, (max_price - min_price) / max_price * 100 AS diff_perc FROM points
+WHERE (max_price - min_price) / max_price * 100 >= 30 AND max_date < min_date {today}"""
+
+
 def oracle_statements() -> dict[str, str]:
     run_set = f"SELECT ticker FROM runs WHERE run_id = {r.RUN_A} {{}} " \
               f"SELECT ticker FROM runs WHERE run_id = {r.RUN_B}"
@@ -228,6 +328,24 @@ def oracle_statements() -> dict[str, str]:
             WHERE batch = (SELECT max(batch) FROM batches x WHERE x.ticker = b.ticker)""",
         "bars_union_batches": f"""WITH {BARS}, {BATCHES}
             SELECT *, NULL::VARCHAR AS batch FROM bars UNION ALL SELECT * FROM batches""",
+        "bars_loaded_in_batches": f"""WITH {BATCHES} SELECT * FROM batches
+            QUALIFY row_number() OVER (PARTITION BY ticker, trade_date ORDER BY batch DESC) = 1""",
+        "market_sessions": f"WITH {_SESSIONS} SELECT * FROM numbered",
+        "session_windows": f"WITH {_SESSIONS} SELECT * FROM windows",
+        "window_crashes_every_day": _every_day(f"{LONG}, {_ASOF_WINDOWS}", "", ""),
+        "window_crashes_every_session": _every_day(
+            _SESSIONS, "JOIN markets m ON m.ticker = b.ticker", "AND min_date = last_day"
+        ),
+        "isolation_score_forest": f"""WITH {GAPPY}, {_forest("gappy")}
+            SELECT ticker, trade_date, volume_close, isolation_depth FROM scored""",
+        "anomalies_forest": f"WITH {GAPPY}, {_forest('gappy')} SELECT * FROM scored WHERE is_anomaly",
+        "anomaly_window_wide": f"""WITH {LONG}, usable AS (
+              SELECT *, lag(trade_date) OVER (PARTITION BY ticker ORDER BY trade_date) AS prev_date
+              FROM bars_long WHERE adj_close * volume IS NOT NULL),
+            {_windows("bars_long", "usable", r.WIDE_DAYS)}
+            SELECT ticker, anomaly_date AS trade_date,
+                   anomaly_date + {r.WIDE_DAYS} AS period_end_date,
+                   * EXCLUDE (ticker, anomaly_date) FROM drops""",
         "write_crash_tables": f"WITH {BARS}, {_window('bars')} {WINDOW_ROWS}",
         "dollar_volume": f"""WITH {GAPPY}
             SELECT ticker, trade_date, adj_close * volume AS volume_close FROM gappy""",
@@ -293,6 +411,9 @@ def oracle_statements() -> dict[str, str]:
             SELECT ticker, trade_date, volume_close, isolation_depth FROM scored""",
         "isolation_score_long": f"""WITH {LONG}, {_scored("bars_long")}
             SELECT ticker, trade_date, volume_close, isolation_depth FROM scored""",
+        "isolation_score_mixed": f"""WITH {GAPPY}, {LONG},
+            mixed AS (SELECT * FROM gappy UNION ALL SELECT * FROM bars_long), {_scored("mixed")}
+            SELECT ticker, trade_date, volume_close, isolation_depth FROM scored""",
         "anomaly_flag": f"""WITH {GAPPY}, {_scored("gappy")}
             SELECT ticker, trade_date, is_anomaly FROM scored""",
         "anomalies": f"WITH {GAPPY}, {_scored('gappy')} SELECT * FROM scored WHERE is_anomaly",

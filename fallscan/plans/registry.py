@@ -10,8 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fallscan.functions.calendar import crash_period, latest_trading_day, load_start, weekday_back
-from fallscan.operators import anomaly_crash, keys, outliers, quality, report, window_crash
+from fallscan.functions.calendar import (
+    crash_period, latest_trading_day, load_start, most_days, weekday_back,
+)
+from fallscan.operators import (
+    anomaly_crash, keys, outliers, quality, report, sessions, window_crash,
+)
 from fallscan.operators.series import with_previous_bar
 from fallscan.plans import inputs, reports
 from fallscan.sources import bars as bar_source
@@ -33,6 +37,8 @@ FIRST_N = 10
 SLICE_OFFSET, SLICE_LENGTH = 200, 40
 EXTRA_TICKER = "TEXTRA"
 RUN_A, RUN_B = 29, 30
+WIDE_DAYS = 120
+SESSIONS_BACK = 5
 
 _REGISTRY: dict[str, Query] = {}
 
@@ -67,8 +73,32 @@ def _window_crashes(bars, today=False):
     return window_crash.window_crashes(bars, last, first, min_value_today=today)
 
 
+def _event_days(spark, sf_dir):
+    return inputs.days_spanned(inputs.table(spark, sf_dir, "events"), "ts")
+
+
+def _ship_days(spark, sf_dir):
+    return inputs.days_spanned(inputs.table(spark, sf_dir, "lineitem"), "l_shipdate")
+
+
+def _flagged(spark, sf_dir, bars):
+    return anomaly_crash.flag_drops(bars, longest=_event_days(spark, sf_dir))
+
+
+def _crashes(spark, sf_dir, bars):
+    return anomaly_crash.anomaly_crashes(bars, longest=_event_days(spark, sf_dir))
+
+
+def _scores(spark, sf_dir):
+    return outliers.isolation_scores(_gappy(spark, sf_dir), _event_days(spark, sf_dir))
+
+
 def _outliers(spark, sf_dir):
-    return outliers.anomalies(_bars(spark, sf_dir))
+    return outliers.anomalies(_bars(spark, sf_dir), longest=_event_days(spark, sf_dir))
+
+
+def _odd_gappy(spark, sf_dir):
+    return outliers.anomalies(_gappy(spark, sf_dir), longest=_event_days(spark, sf_dir))
 
 
 def _joined(spark, sf_dir):
@@ -148,6 +178,17 @@ def bars_union_batches(spark, sf_dir):
     )
 
 
+@query
+def bars_loaded_in_batches(spark, sf_dir):
+    """Batches arrive one after the other, the last one twice."""
+    batches = inputs.batch_bars(spark, sf_dir)
+    path = sink.fresh_path(spark, "bars")
+    names = [r.batch for r in batches.select("batch").distinct().orderBy("batch").collect()]
+    for name in [*names, *names[-1:]]:
+        sink.merge_batch(batches.where(F.col("batch") == name), path, ["batch"])
+    return sink.read_by_month(spark, path, batches)
+
+
 @query
 def write_crash_tables(spark, sf_dir):
     crashes = _window_crashes(_period_bars(spark, sf_dir))
@@ -186,7 +227,7 @@ def anomaly_change(spark, sf_dir):
 
 @query
 def anomaly_change_adjusted(spark, sf_dir):
-    changed = anomaly_crash.with_change(outliers.anomalies(_gappy(spark, sf_dir)), "adj_close")
+    changed = anomaly_crash.with_change(_odd_gappy(spark, sf_dir), "adj_close")
     return changed.select(
         "ticker", "trade_date", "adj_close", "prev_close", "close_diff", "close_percent_diff"
     )
@@ -215,6 +256,22 @@ def weekday_back_n(spark, sf_dir):
     )
 
 
+def _long_sessions(spark, sf_dir):
+    markets = inputs.supplier_markets(spark, sf_dir)
+    return sessions.sessions(inputs.lineitem_bars(spark, sf_dir), markets)
+
+
+@query
+def market_sessions(spark, sf_dir):
+    return _long_sessions(spark, sf_dir)
+
+
+@query
+def session_windows(spark, sf_dir):
+    numbered = _long_sessions(spark, sf_dir)
+    return sessions.session_windows(numbered, inputs.asof_dates(spark, sf_dir), SESSIONS_BACK)
+
+
 # ---- quality and step counts -----------------------------------------------------------
 
 
@@ -257,7 +314,7 @@ def step_stats_today(spark, sf_dir):
 
 @query
 def step_stats_outlier(spark, sf_dir):
-    return report.anomaly_step_stats(anomaly_crash.flag_drops(_gappy(spark, sf_dir)))
+    return report.anomaly_step_stats(_flagged(spark, sf_dir, _gappy(spark, sf_dir)))
 
 
 # ---- the composed jobs -----------------------------------------------------------------
@@ -330,6 +387,28 @@ def window_crashes_gappy(spark, sf_dir):
     return _window_crashes(_period_bars(spark, sf_dir, gappy=True))
 
 
+@query
+def window_crashes_every_day(spark, sf_dir):
+    """The look-back test of the longer series for every order date as as-of day."""
+    first, last = crash_period(F.col("asof_date"), WEEKDAYS)
+    windows = inputs.asof_dates(spark, sf_dir).select(
+        "asof_date", first.alias("first_day"), last.alias("last_day")
+    )
+    bars = inputs.lineitem_bars(spark, sf_dir)
+    longest = most_days(WEEKDAYS, "weekday")
+    return window_crash.window_drops(bars, windows, longest, min_value_today=False)
+
+
+@query
+def window_crashes_every_session(spark, sf_dir):
+    """The same by the sessions of each ticker's market; the lowest day is the latest session."""
+    windows = session_windows(spark, sf_dir)
+    return window_crash.window_drops(
+        inputs.lineitem_bars(spark, sf_dir), windows, sessions.longest_window(windows),
+        markets=inputs.supplier_markets(spark, sf_dir),
+    )
+
+
 # ---- outliers --------------------------------------------------------------------------
 
 
@@ -342,33 +421,53 @@ def bar_lag(spark, sf_dir):
 
 @query
 def isolation_score(spark, sf_dir):
-    return outliers.isolation_scores(_gappy(spark, sf_dir)).select(
+    return _scores(spark, sf_dir).select(
         "ticker", "trade_date", "volume_close", "isolation_depth"
     )
 
 
 @query
 def isolation_score_long(spark, sf_dir):
-    return outliers.isolation_scores(inputs.lineitem_bars(spark, sf_dir)).select(
+    bars = inputs.lineitem_bars(spark, sf_dir)
+    return outliers.isolation_scores(bars, _ship_days(spark, sf_dir)).select(
         "ticker", "trade_date", "volume_close", "isolation_depth"
     )
 
 
 @query
-def anomaly_flag(spark, sf_dir):
-    return outliers.isolation_scores(_gappy(spark, sf_dir)).select(
-        "ticker", "trade_date", "is_anomaly"
+def isolation_score_mixed(spark, sf_dir):
+    """Short and long series in one table, of unknown length."""
+    bars = _gappy(spark, sf_dir).unionByName(inputs.lineitem_bars(spark, sf_dir))
+    return outliers.isolation_scores(bars).select(
+        "ticker", "trade_date", "volume_close", "isolation_depth"
     )
 
 
+@query
+def isolation_score_forest(spark, sf_dir):
+    scored = outliers.isolation_scores(_gappy(spark, sf_dir), model=outliers.FOREST)
+    return scored.select("ticker", "trade_date", "volume_close", "isolation_depth")
+
+
+@query
+def anomalies_forest(spark, sf_dir):
+    return outliers.anomalies(_gappy(spark, sf_dir), model=outliers.FOREST)
+
+
+@query
+def anomaly_flag(spark, sf_dir):
+    return _scores(spark, sf_dir).select("ticker", "trade_date", "is_anomaly")
+
+
 @query
 def anomalies(spark, sf_dir):
-    return outliers.anomalies(_gappy(spark, sf_dir))
+    return _odd_gappy(spark, sf_dir)
 
 
 @query
 def anomaly_counts(spark, sf_dir):
-    return outliers.anomaly_counts(outliers.score_bars(_gappy(spark, sf_dir)))
+    scored = outliers.score_bars(_gappy(spark, sf_dir), longest=_event_days(spark, sf_dir))
+    return outliers.anomaly_counts(scored)
 
 
 # ---- drops around outliers -------------------------------------------------------------
@@ -397,24 +496,33 @@ def anomaly_window_range(spark, sf_dir):
     )
 
 
+@query
+def anomaly_window_wide(spark, sf_dir):
+    windows = anomaly_crash.with_drop_window(inputs.lineitem_bars(spark, sf_dir), WIDE_DAYS)
+    return windows.where(F.col("min_close").isNotNull()).select(
+        "ticker", "trade_date", *anomaly_crash.WINDOW_FIELDS
+    )
+
+
 @query
 def anomaly_crashes(spark, sf_dir):
-    return anomaly_crash.anomaly_crashes(_bars(spark, sf_dir))
+    return _crashes(spark, sf_dir, _bars(spark, sf_dir))
 
 
 @query
 def anomaly_crashes_gappy(spark, sf_dir):
-    return anomaly_crash.anomaly_crashes(_gappy(spark, sf_dir))
+    return _crashes(spark, sf_dir, _gappy(spark, sf_dir))
 
 
 @query
 def anomaly_crashes_long(spark, sf_dir):
-    return anomaly_crash.anomaly_crashes(inputs.lineitem_bars(spark, sf_dir))
+    bars = inputs.lineitem_bars(spark, sf_dir)
+    return anomaly_crash.anomaly_crashes(bars, longest=_ship_days(spark, sf_dir))
 
 
 @query
 def crash_recent(spark, sf_dir):
-    crashes = anomaly_crash.anomaly_crashes(_bars(spark, sf_dir))
+    crashes = _crashes(spark, sf_dir, _bars(spark, sf_dir))
     return anomaly_crash.recent_crashes(crashes, ASOF, MAX_DAYS_IN_PAST)
 
 
@@ -429,7 +537,7 @@ def crash_company_info(spark, sf_dir):
 
 @query
 def report_crash_table(spark, sf_dir):
-    crashes = anomaly_crash.anomaly_crashes(_bars(spark, sf_dir))
+    crashes = _crashes(spark, sf_dir, _bars(spark, sf_dir))
     return report.in_report_order(crashes, "crash_date")
 
 
@@ -441,7 +549,7 @@ def bars_of_sector(spark, sf_dir):
 @query
 def collate_bars_crashes(spark, sf_dir):
     bars = _bars(spark, sf_dir)
-    return report.collate(bars, anomaly_crash.anomaly_crashes(bars))
+    return report.collate(bars, _crashes(spark, sf_dir, bars))
 
 
 @query
@@ -451,7 +559,7 @@ def chart_series(spark, sf_dir):
 
 @query
 def chart_series_outlier(spark, sf_dir):
-    return report.anomaly_chart_series(anomaly_crash.flag_drops(_bars(spark, sf_dir)))
+    return report.anomaly_chart_series(_flagged(spark, sf_dir, _bars(spark, sf_dir)))
 
 
 # ---- sets of tickers -------------------------------------------------------------------

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from fallscan.functions.calendar import DateLike, crash_period
+from fallscan.functions.calendar import DateLike, crash_period, most_days
 from fallscan.operators import anomaly_crash, keys, outliers, quality, report, window_crash
 from fallscan.sources import companies as company_source
 from fallscan.sources.bars import load_window, one_bar
@@ -98,7 +98,8 @@ def outlier_report(
     )
     flagged = materialise(
         anomaly_crash.flag_drops(
-            loaded, params.contamination, params.drop_perc, params.days_after
+            loaded, params.contamination, params.drop_perc, params.days_after,
+            longest=most_days(params.days, params.unit),
         ),
         work,
         "flagged-bars",

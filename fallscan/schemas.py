@@ -78,6 +78,13 @@ ORDERS = _struct(
     o_orderpriority=T.StringType(),
 )
 
+SUPPLIER = _struct(
+    s_suppkey=T.LongType(),
+    s_name=T.StringType(),
+    s_nationkey=T.IntegerType(),
+    s_acctbal=T.DoubleType(),
+)
+
 LINEITEM = _struct(
     l_orderkey=T.LongType(),
     l_partkey=T.LongType(),
@@ -97,5 +104,6 @@ DRIVER_TABLES = {
     "customer": CUSTOMER,
     "nation": NATION,
     "orders": ORDERS,
+    "supplier": SUPPLIER,
     "lineitem": LINEITEM,
 }

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 MONTH = "month"
+BAR_KEYS = ("ticker", "trade_date")
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,6 +52,58 @@ def read_by_month(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def merge_batch(
+    batch: DataFrame, path: str, order: Sequence[str] = (), keys: Sequence[str] = BAR_KEYS,
+    day: str = "trade_date",
+) -> None:
+    """Merge a batch of rows into the table at ``path``, which is partitioned by month.
+
+    Of several rows per key the one that is greatest in ``order`` stays, then the greatest in
+    all its fields; without ``order`` the batch replaces what is there. Only months in which this
+    changes a row are read in full and written again, each replaced as a whole when the job
+    commits; the files of all others stay. A batch that was merged before changes nothing, so a
+    job that failed half-way is simply run again. Rows without a day are left out. ``batch`` must
+    not be read from ``path``.
+    """
+    spark = batch.sparkSession
+    fields = [c for c in batch.columns if c not in keys]
+    ranked = F.struct(*order, "_fresh", *[c for c in fields if c not in order])
+
+    def newest(rows: DataFrame) -> DataFrame:
+        best = rows.groupBy(MONTH, *keys).agg(F.max(ranked).alias("_best"))
+        return best.select(*keys, *[f"_best.{c}" for c in fields], "_best._fresh", MONTH)
+
+    dated = batch.where(F.col(day).isNotNull())
+    incoming = dated.withColumns({MONTH: _month(day), "_fresh": F.lit(True)})
+    if not _exists(spark, path):
+        write_by_month(newest(incoming).select(*batch.columns), path, day)
+        return
+    schema = StructType([*batch.schema.fields, StructField(MONTH, StringType())])
+    stored = spark.read.schema(schema).parquet(path).withColumn("_fresh", F.lit(False))
+    months = [r[MONTH] for r in incoming.select(MONTH).distinct().collect()]
+    touched = stored.where(F.col(MONTH).isin(months))
+    merged = newest(touched.unionByName(incoming))
+    same = F.lit(True)
+    for c in batch.columns:
+        same &= F.col(f"m.{c}").eqNullSafe(F.col(f"s.{c}"))
+    same &= F.col(f"m.{MONTH}") == F.col(f"s.{MONTH}")
+    fresh = merged.where("_fresh").alias("m")
+    changed = [
+        r[MONTH]
+        for r in fresh.join(touched.alias("s"), same, "left_anti").select(MONTH).distinct().collect()
+    ]
+    if changed:
+        rows = merged.where(F.col(MONTH).isin(changed)).select(*batch.columns, MONTH)
+        writer = rows.hint("rebalance", MONTH).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+
+
 def materialise(table: DataFrame, folder: str, name: str) -> DataFrame:
     """Write ``table`` into a shared work folder and return it as read from there.
 

@@ -10,7 +10,8 @@ from fallscan.plans.registry import all_queries
 from fallscan.sources.bars import read_bars
 from fallscan.sources.sink import save_bucketed_bars
 
-# The isolation depths are the one vectorised step in Python.
+# The depths of long series are the one step in Python, over whole arrays.
+ANY_PYTHON = re.compile(r"Python|ArrowEval|InPandas|InArrow")
 PYTHON = re.compile(r"Python|ArrowEval|InPandas|(?<!Map)InArrow")
 PAIRS = re.compile(r"NestedLoop|CartesianProduct")
 
@@ -42,18 +43,29 @@ def test_no_python_no_pairs(spark, sf_dir, name):
     assert not PYTHON.search(plan) and not PAIRS.search(plan)
 
 
-def test_outlier_crashes_shuffle_the_bars_once(spark, bars_path):
-    plan = plan_of(anomaly_crash.anomaly_crashes(read_bars(spark, bars_path)))
-    # the bars once; values to arrays, arrays to blocks, blocks to a curve per ticker
-    assert plan.count("Exchange hashpartitioning") == 4
-    assert plan.count("Exchange hashpartitioning(key#") == 2
+def test_short_series_need_one_shuffle_no_join_and_no_python(spark, bars_path):
+    bars = read_bars(spark, bars_path)
+    plan = plan_of(anomaly_crash.anomaly_crashes(bars, longest=30))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 2
+    assert "Join" not in plan and not ANY_PYTHON.search(plan)
+
+
+def test_series_of_unknown_length_shuffle_the_bars_once(spark, bars_path):
+    crashes = anomaly_crash.anomaly_crashes(read_bars(spark, bars_path))
+    assert crashes.count() >= 0
+    crashes.collect()
+    plan = plan_of(crashes)
+    final = plan[: plan.index("Initial Plan")]
+    # bars for short series, reused for long ones (twice), and the curves of long ones
+    assert final.count("Exchange hashpartitioning(ticker") - final.count("ReusedExchange") <= 2
 
 
 def test_report_of_outliers_adds_no_shuffle(spark, bars_path):
     from fallscan.operators.report import anomaly_chart_series
 
-    flagged = anomaly_crash.flag_drops(read_bars(spark, bars_path))
-    assert plan_of(anomaly_chart_series(flagged)).count("Exchange hashpartitioning") == 4
+    flagged = anomaly_crash.flag_drops(read_bars(spark, bars_path), longest=30)
+    assert plan_of(anomaly_chart_series(flagged)).count("Exchange hashpartitioning") == 1
 
 
 def test_window_crashes_need_one_shuffle_and_read_the_window_only(spark, bars_path):
@@ -90,9 +102,8 @@ def test_raw_events_are_reduced_before_the_shuffle(spark, sf_dir):
 def test_bucketed_bars_need_no_shuffle(spark, bars_path, tmp_path):
     save_bucketed_bars(read_bars(spark, bars_path), "bucketed_bars", 4, str(tmp_path / "b"))
     try:
-        plan = plan_of(anomaly_crash.anomaly_crashes(spark.table("bucketed_bars")))
-        # only the arrays of values move
-        assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(key#") == 2
+        plan = plan_of(anomaly_crash.anomaly_crashes(spark.table("bucketed_bars"), longest=30))
+        assert "Exchange hashpartitioning" not in plan
         from_files = anomaly_crash.anomaly_crashes(read_bars(spark, bars_path))
         from_table = anomaly_crash.anomaly_crashes(spark.table("bucketed_bars"))
         assert from_files.exceptAll(from_table).isEmpty()
@@ -109,5 +120,5 @@ def test_range_join_is_spread_over_blocks(spark, bars_path):
         plan = plan_of(anomaly_crash.window_join(odd, bars))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert re.search(r"SortMergeJoin \[ticker#\d+, _block#\d+L\]", plan)
+    assert re.search(r"SortMergeJoin \[ticker#\d+, _bin#\d+.number, _bin#\d+.level\]", plan)
     assert not PAIRS.search(plan)

@@ -1,4 +1,5 @@
 import math
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +161,52 @@ def test_shared_folder_follows_the_session(spark, prices, tmp_path):
     assert cut.inputFiles()
     sink.remove(spark, str(tmp_path / "work"))
     assert not (tmp_path / "work").exists()
+
+
+# ---- batches that arrive over time ---------------------------------------------------------
+
+
+def files_of(path):
+    return {str(f.relative_to(path)) for f in pathlib.Path(path).rglob("*.parquet")}
+
+
+def stored(spark, path, like):
+    rows = sink.read_by_month(spark, path, like).collect()
+    return sorted((r.ticker, r.trade_date, r.adj_close, r.batch) for r in rows)
+
+
+def test_merge_touches_only_changed_months(spark, make_bars, tmp_path):
+    path = str(tmp_path / "bars")
+
+    def batch(name, series):
+        return make_bars(series).withColumn("batch", F.lit(name))
+
+    first = batch("1", {"T": [(d, float(d), 1) for d in (1, 2, 40, 70)], "U": [(2, 5.0, 1)]})
+    sink.merge_batch(first, path, ["batch"])
+    before = files_of(path)
+    assert {f.split("/")[0] for f in before} == {"month=2024-01", "month=2024-02", "month=2024-03"}
+    sink.merge_batch(first, path, ["batch"])
+    assert files_of(path) == before
+    second = batch("2", {"T": [(40, 99.0, 1), (41, 1.0, 1)], "V": [(100, 7.0, 1)]})
+    sink.merge_batch(second, path, ["batch"])
+    after = files_of(path)
+    for month in ("month=2024-01", "month=2024-03"):
+        assert {f for f in after if f.startswith(month)} == {f for f in before if f.startswith(month)}
+    assert not {f for f in after if f.startswith("month=2024-02")} & before
+    expected = sorted([
+        ("T", day(1), 1.0, "1"), ("T", day(2), 2.0, "1"), ("U", day(2), 5.0, "1"), ("T", day(40), 99.0, "2"),
+        ("T", day(41), 1.0, "2"), ("T", day(70), 70.0, "1"), ("V", day(100), 7.0, "2"),
+    ])
+    assert stored(spark, path, first) == expected
+    sink.merge_batch(second, path, ["batch"])
+    sink.merge_batch(first, path, ["batch"])  # an older batch that comes again changes nothing
+    assert files_of(path) == after and stored(spark, path, first) == expected
+
+
+def test_merge_without_order_replaces(spark, make_bars, tmp_path):
+    path = str(tmp_path / "bars")
+    rows = make_bars({"T": [(1, 9.0, 1), (2, 3.0, 1)]}).withColumn("batch", F.lit("x"))
+    lower = make_bars({"T": [(1, 1.0, 1)]}).withColumn("batch", F.lit("x"))
+    for table in (rows, lower, lower.limit(0), lower.withColumn("trade_date", F.lit(None).cast("date"))):
+        sink.merge_batch(table, path)
+    assert [r[2] for r in stored(spark, path, rows)] == [1.0, 3.0]
