@@ -13,7 +13,9 @@ are sums. Edits come as an array per document, pre-aggregated by document, and a
 each to the text that the edits before it left.
 
 Defined cases: null texts count as empty; an edit beyond the end is clamped to it; a null edit
-list changes nothing; rows that repeat a doc_id are counted each with their own edits.
+list and a null edit in a list change nothing; a null start means the end of the text, a null stop
+an insertion, a null insert nothing inserted; rows that repeat a doc_id are counted each with their
+own edits; a very long text is one tree, kept as its pre-tokens; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -219,7 +221,11 @@ def count_edited(docs: DataFrame, path: str, edits: str = "edits") -> DataFrame:
                 tree = Tree(text.as_py() or "", machine)
                 before = (tree.tokens, tree.characters, tree.encoded)
                 for change in changes.as_py() or ():
-                    tree.edit(change["start"], change["stop"], change["insert"] or "")
+                    if change is None:
+                        continue
+                    start = tree.characters if change["start"] is None else change["start"]
+                    stop = start if change["stop"] is None else change["stop"]
+                    tree.edit(start, stop, change["insert"] or "")
                 rows.append(
                     (*before, tree.tokens, tree.characters, tree.encoded - before[2])
                 )

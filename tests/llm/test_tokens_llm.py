@@ -103,3 +103,18 @@ def test_query_edits_equal_whole_encoding(spark, sf_dir):
         expected[row.doc_id] = (len(machine.encode(row.text)) // 4, len(machine.encode(text)) // 4, len(text))
     found = QUERIES["op3_edit_aware_counts"](spark, sf_dir).collect()
     assert {r.doc_id: (r.n_tokens, r.edited_tokens, r.edited_chars) for r in found} == expected
+
+
+def test_null_edits_and_bounds(spark, library):
+    edits = [
+        None, [], [None], [(None, None, " end")], [(2, None, "XY")], [(1, 3, None)], [(5, 2, "q")],
+        [None, (0, 1, "Z"), (None, 9, None)], [(10**6, 10**6 + 5, "tail")],
+    ]
+    expected = ["abc def"] * 3 + ["abc def end", "abXYc def", "a def", "abc dqef", "Zbc def", "abc deftail"]
+    rows = [(k, "abc def", e) for k, e in enumerate(edits)] + [(99, None, [(0, 0, "new")])]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, edits {token_counts.EDITS}")
+    found = {r.doc_id: r for r in token_counts.count_edited(docs, PATH).collect()}
+    for k, text in [*enumerate(expected), (99, "new")]:
+        assert found[k].edited_chars == len(text)
+        assert found[k].edited_tokens == len(library.encode(text, add_special_tokens=False).ids)
+    assert token_counts.count_edited(docs.limit(0), PATH).isEmpty()
