@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import pytest
@@ -73,6 +74,63 @@ def test_rules_are_many_and_their_keywords_open_the_gate(spark):
     assert missed == ["free bsd"] and len(families()) > 120
 
 
+def test_every_separator_parts_words(spark):
+    marks = [chr(c) for c in range(128) if not chr(c).isalnum()]
+    texts = [f"{m}CC{m}by{m}" for m in marks] + [f"x{m}cc{m}{m}by{m}4" for m in marks]
+    texts += ["xcc by", "cc byx", "cc\u00a0by", "écc by", "9cc by", "cc by9", "CC BY", "KCC BY"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in licenses.scan(rows).collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", texts[row.doc_id].translate(LOWER))
+        places = [k for k in range(len(words) - 1) if words[k : k + 2] == ["cc", "by"]]
+        assert (row.n_words, row.n_base) == (len(words), len(places)), texts[row.doc_id]
+        assert row.first_word == min(places, default=None) and (row.base_labels == "cc-by") == bool(places)
+
+
+def brute_detections(text):
+    """All rules on the whole text, containment among all, then priority among overlapping ones."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+    normal = f" {' '.join(words)} "
+    found = [
+        (m.start(), m.end(), priority, order, label)
+        for order, (priority, label, _, expression, _) in enumerate(rules())
+        for m in re.finditer(expression, normal)
+    ]
+
+    def contained(d, o):
+        larger = o[0] <= d[0] and o[1] >= d[1] and o[1] - o[0] > d[1] - d[0]
+        return larger or (o[:2] == d[:2] and o[2:4] < d[2:4])
+
+    left = [d for d in found if not any(contained(d, o) for o in found)]
+    return sorted(
+        d for d in left if not any(o[0] < d[1] and d[0] < o[1] and o[2] < d[2] for o in left if o != d)
+    )
+
+
+def test_suppression_equals_brute_force(spark):
+    rng = random.Random(6)
+    pieces = [
+        "licensed under the terms of the", "gnu general public license", "version 2", "version 3 or later",
+        "apache license", "2.0", "mit license", "cc by", "cc-by-sa 4.0", "creative commons attribution",
+        "all rights reserved", "SPDX-License-Identifier: MIT", "bsd 3-clause license", "GPL v2", "the",
+        "released into the public domain", "Copyright (c) 2020 2021", "proprietary and confidential", "x",
+    ]
+    texts = [" ".join(rng.choices(pieces, k=rng.randint(1, 60))) for _ in range(40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    total = 0
+    for row in licenses.scan(rows).collect():
+        found = [(d.start, d.stop, d.priority, d.order, d.label) for d in row.detections]
+        assert found == brute_detections(texts[row.doc_id])
+        total += len(found)
+    assert total > 300
+
+
+def test_a_text_full_of_licences(spark):
+    text = "Licensed under the MIT License, all rights reserved. " * 1_500
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = licenses.scan(rows).collect()
+    assert (row.n_base, len(row.detections)) == (1_500, 3_000)
+
+
 ASSIGN = re.compile(
     r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A
 )
