@@ -36,11 +36,33 @@ LOOKAHEAD = 3
 EDITS = "array<struct<start:int,stop:int,insert:string>>"
 
 
+class Pieces(dict):
+    """Pre-token -> (pre-token, tokens), one object per word however often texts repeat it."""
+
+    MOST, LONGEST = 200_000, 64
+
+    def __init__(self, machine: Automaton):
+        super().__init__()
+        self.machine = machine
+
+    def __missing__(self, word: str) -> tuple[str, int]:
+        piece = (word, len(self.machine[word]) // 4)
+        if len(word) <= self.LONGEST:
+            if len(self) >= self.MOST:
+                self.clear()
+            self[word] = piece
+        return piece
+
+
 class Tree:
-    """Pre-tokens of one text in leaves under a binary tree of (characters, tokens) sums."""
+    """Pre-tokens of one text in leaves under a binary tree of (characters, tokens) sums.
+
+    ``pieces`` may be shared by the trees of many texts.
+    """
 
-    def __init__(self, text: str, machine: Automaton):
+    def __init__(self, text: str, machine: Automaton, pieces: Pieces | None = None):
         self.machine = machine
+        self.piece = (Pieces(machine) if pieces is None else pieces).__getitem__
         self.encoded = 0  # pre-tokens encoded so far
         pieces = self._encode(text)
         self.leaves = [pieces[k : k + LEAF] for k in range(0, len(pieces), LEAF)] or [[]]
@@ -55,7 +77,7 @@ class Tree:
             if k % 2:
                 found.append((part, 1))
             elif part:
-                found.extend((w, len(machine[w]) // 4) for w in machine.pattern.findall(part))
+                found.extend(map(self.piece, machine.pattern.findall(part)))
         self.encoded += len(found)
         return found
 
@@ -72,7 +94,7 @@ class Tree:
 
     @staticmethod
     def _sum(leaf: list[tuple[str, int]]) -> tuple[int, int]:
-        return sum(len(w) for w, _ in leaf), sum(n for _, n in leaf)
+        return sum([len(w) for w, _ in leaf]), sum([n for _, n in leaf])
 
     def _pull(self, k: int) -> None:
         (a, b), (c, d) = self.sums[2 * k], self.sums[2 * k + 1]
@@ -215,10 +237,11 @@ def count_edited(docs: DataFrame, path: str, edits: str = "edits") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton(path)
+        pieces = Pieces(machine)
         for batch in batches:
             rows = []
             for text, changes in zip(batch.column("text"), batch.column("edits")):
-                tree = Tree(text.as_py() or "", machine)
+                tree = Tree(text.as_py() or "", machine, pieces)
                 before = (tree.tokens, tree.characters, tree.encoded)
                 for change in changes.as_py() or ():
                     if change is None:
