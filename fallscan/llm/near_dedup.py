@@ -12,7 +12,9 @@ left out, as keys. At J = 0.75 a pair lies beyond the distance with a probabilit
 Keys that a common passage makes are crowded and say little. A chunk is *crowded* for a document
 if one of its keys has more than ``CROWD`` nodes. A document with at least ``OPEN_CHUNKS`` other
 chunks is found by those: a chunk of a pair at J = 0.75 has more than one error with probability
-0.16, all nine with less than 1e-7. The rest, documents made mostly of common text, are joined
+0.16. Such chunks and crowded ones are not independent (a chunk with two errors is not crowded by the
+passage that both share), so of pairs at 0.75 whose common passage is half of their union about
+6e-6 are lost, at three quarters 2e-4. The rest, documents made mostly of common text, are joined
 exactly: similar sets share one of their rarest shingles, counted over all these documents
 (prefix filter; Chaudhuri, Ganti, Kaushik: A Primitive Operator for Similarity Joins, ICDE 2006).
 
