@@ -23,7 +23,8 @@ first compared with a few leaders only, since copies of one original need not be
 other; confirmed links join them to components. Then only nodes of a key that are still in
 different components are compared, all of them, in blocks. Before sets are fetched, a
 bitmap of parities rejects pairs: it differs in no more bits than the sets differ in shingles,
-so it never rejects a link.
+so it never rejects a link. Pairs are neither written nor shuffled there: a block names the
+nodes that passing pairs tie together, and returns a spanning forest of their confirmed links.
 
 Defined cases: null and blank texts have an empty set, link with nothing and are kept; a null
 doc_id takes part with null as its id, which no component takes as its smallest; rows that
@@ -32,6 +33,7 @@ repeat a doc_id share a component; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,6 +66,9 @@ SALTS = 8
 #: Nodes of one key that one task compares with each other or with another block.
 BLOCK = 512
 
+#: Shingles of whole sets that one block may hold on average, 8 bytes each.
+BLOCK_SHINGLES = 1 << 20
+
 _U64 = np.uint64
 _FACTORS = shingles.seeded(11, SYMBOLS) | _U64(1)
 _TERMS = shingles.seeded(12, SYMBOLS)
@@ -248,17 +253,22 @@ def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).filter(near)
 
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted, non-empty sets of shingles link."""
+    small, large = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.searchsorted(large, small)
+    at[at == len(large)] = 0
+    common = int((large[at] == small).sum())
+    return 100 * common >= SIMILARITY * (len(a) + len(b) - common)
+
+
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose whole sets are similar enough."""
     for batch in batches:
-        linked = []
-        for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b")):
-            a, b = (np.frombuffer(s.as_buffer(), _U64) for s in (x, y))
-            small, large = (a, b) if len(a) <= len(b) else (b, a)
-            at = np.searchsorted(large, small)
-            at[at == len(large)] = 0
-            common = int((large[at] == small).sum())
-            linked.append(100 * common >= SIMILARITY * (len(a) + len(b) - common))
+        linked = [
+            similar(np.frombuffer(x.as_buffer(), _U64), np.frombuffer(y.as_buffer(), _U64))
+            for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b"))
+        ]
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
@@ -375,11 +385,30 @@ def _leader_pairs(groups: DataFrame) -> DataFrame:
     return pairs.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
 
 
-def _residual(groups: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of a key that the links so far left in different components; settled.
+def _in_blocks(rows: DataFrame, by: str, counts: DataFrame) -> DataFrame:
+    """``rows`` with (block, own): the nodes of a group in pairs of blocks.
+
+    ``counts`` has the number m of blocks of every group. A group's nodes are dealt into its
+    blocks; block i meets block j in the pair (i, j), so a task never holds more than about two.
+    """
+    dealt = rows.join(counts.select(by, "m"), by)
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+    block = F.transform(
+        F.sequence(F.lit(0), F.col("m") - 1),
+        lambda o: F.least("own", o).cast("long") * F.lit(1 << 20) + F.greatest("own", o),
+    )
+    return dealt.withColumn("block", F.explode(block)).drop("m")
+
+
+def _open_links(
+    docs: DataFrame, groups: DataFrame, labels: DataFrame, nodes: DataFrame
+) -> DataFrame:
+    """Links (a, b) that join what the links so far left in different components; settled.
 
-    A key's nodes are dealt into blocks of about BLOCK; block i meets block j in the group
-    (i, j), so a task never holds more than about two blocks.
+    First, nodes of a key in different components that bitmaps let pass are gathered to sets,
+    a row for each member; equal sets of several keys are one. Then every set is
+    confirmed on whole shingle sets, and gives a spanning forest of its links only: both steps
+    return no more rows than they read, however many links a group has.
     """
     placed = groups.join(labels, "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label")
@@ -390,26 +419,64 @@ def _residual(groups: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFra
         .where("lo < hi and size > 2")  # of two nodes, one is a leader
         .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("m"))
     )
-    own = F.pmod(F.xxhash64("node"), F.col("m")).cast("int")
-    dealt = placed.join(torn, "key").join(nodes.select("node", "n", "bitmap"), "node")
-    dealt = dealt.withColumn("own", own)
-    block = F.transform(
-        F.sequence(F.lit(0), F.col("m") - 1),
-        lambda o: F.least("own", o).cast("long") * F.lit(1 << 20) + F.greatest("own", o),
+    met = _in_blocks(placed, "key", torn).join(nodes.select("node", "n", "bitmap"), "node")
+    found = met.groupBy("key", "block").applyInArrow(_gather, "gathered long, node long")
+    members = settle(found.distinct())
+    if members.isEmpty():
+        return members.select(F.col("gathered").alias("a"), F.col("node").alias("b"))
+    sizes = members.join(nodes.select("node", "n"), "node").groupBy("gathered")
+    held = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)
+    counts = sizes.agg(F.ceil(held).cast("int").alias("m"))
+    sets = _sets(docs, nodes, members.select("node").distinct())
+    labelled = members.join(labels, "node", "left").select(
+        "gathered", "node", F.coalesce("label", "node").alias("label")
     )
-    met = dealt.select("key", F.explode(block).alias("block"), "own", "node", "label", "n", "bitmap")
-    return settle(met.groupBy("key", "block").applyInArrow(_compare, "a long, b long").distinct())
+    met = _in_blocks(labelled, "gathered", counts).join(sets, "node")
+    return settle(met.groupBy("gathered", "block").applyInArrow(_span, "a long, b long").distinct())
 
 
-def _compare(group: pa.Table) -> pa.Table:
-    """Pairs of one group in different components that sizes and bitmaps do not rule out."""
-    nodes, labels, own, n = (
-        group.column(c).to_numpy() for c in ("node", "label", "own", "n")
-    )
+def _met_in(group: pa.Table) -> tuple[np.ndarray, bool]:
+    """The blocks of a group's nodes, and whether the group is one block with itself."""
     block = group.column("block")[0].as_py()
+    return group.column("own").to_numpy(), block >> 20 == block & ((1 << 20) - 1)
+
+
+def _gather(group: pa.Table) -> pa.Table:
+    """(gathered, node): nodes tied by pairs of different components that sizes and bitmaps
+    do not rule out; tied nodes have the digest of their set in common."""
+    nodes, labels, n = (group.column(c).to_numpy() for c in ("node", "label", "n"))
+    own, same_block = _met_in(group)
     bitmaps = _bitmaps(group.column("bitmap").combine_chunks())
-    same_block = block >> 20 == block & ((1 << 20) - 1)
-    found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    tied = np.arange(len(nodes))
+    for k in range(len(nodes) - 1):
+        rest = slice(k + 1, None)
+        open_pair = (labels[rest] != labels[k]) & (tied[rest] != tied[k])
+        if not same_block:
+            open_pair &= own[rest] != own[k]
+        at = np.flatnonzero(open_pair) + k + 1
+        differ = np.bitwise_count(bitmaps[at] ^ bitmaps[k]).sum(axis=1, dtype=np.int64)
+        at = at[differ <= most_differing(n[at] + n[k])]
+        if len(at):
+            tied[np.isin(tied, tied[at])] = tied[k]
+    which, size = np.unique(tied, return_counts=True)
+    names, members = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for one in which[size > 1]:
+        inside = np.sort(nodes[tied == one])
+        name = hashlib.blake2b(inside.tobytes(), digest_size=8).digest()
+        names.append(np.repeat(np.frombuffer(name, np.int64), len(inside)))
+        members.append(inside)
+    return pa.table({"gathered": np.concatenate(names), "node": np.concatenate(members)})
+
+
+def _span(group: pa.Table) -> pa.Table:
+    """A spanning forest of the links of one group between different components."""
+    nodes = group.column("node").to_numpy()
+    labels = group.column("label").to_numpy().copy()
+    own, same_block = _met_in(group)
+    sets = [np.frombuffer(s.as_buffer(), _U64) for s in group.column("shingles")]
+    n = np.array([len(s) for s in sets], np.int64)
+    bitmaps = np.frombuffer(b"".join(map(bitmap_of, sets)), np.uint64).reshape(len(sets), -1)
+    a, b = [], []
     for k in range(len(nodes) - 1):
         rest = slice(k + 1, None)
         open_pair = labels[rest] != labels[k]
@@ -417,10 +484,12 @@ def _compare(group: pa.Table) -> pa.Table:
             open_pair &= own[rest] != own[k]
         at = np.flatnonzero(open_pair) + k + 1
         differ = np.bitwise_count(bitmaps[at] ^ bitmaps[k]).sum(axis=1, dtype=np.int64)
-        others = nodes[at[differ <= most_differing(n[at] + n[k])]]
-        found_a.append(np.minimum(others, nodes[k]))
-        found_b.append(np.maximum(others, nodes[k]))
-    return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+        for other in at[differ <= most_differing(n[at] + n[k])]:
+            if labels[other] != labels[k] and similar(sets[k], sets[other]):
+                labels[labels == labels[other]] = labels[k]
+                a.append(min(nodes[k], nodes[other]))
+                b.append(max(nodes[k], nodes[other]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -435,11 +504,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     links = _links(docs, nodes, _leader_pairs(groups))
     labels = components(links)
-    more = _residual(groups, labels, nodes)
-    if not more.isEmpty():
-        rest = _links(docs, nodes, more)
-        if not rest.isEmpty():
-            labels = components(links.union(rest))
+    rest = _open_links(docs, groups, labels, nodes)
+    if not rest.isEmpty():
+        labels = components(links.union(rest))
     named = nodes.join(labels, "node", "left").select(
         "digest", "least_id", F.coalesce("label", "node").alias("label")
     )
