@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fallscan.llm import shingles
-from fallscan.llm.common import settle, small_side
+from fallscan.llm.common import broadcast_bytes, settle, small_side
 
 CHUNKS = 16
 CHUNK_SYMBOLS = 3
@@ -230,7 +230,7 @@ def _rare_keys(docs: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFram
         .where(F.col("chunks") > CHUNKS - OPEN_CHUNKS)
         .select("node")
     )
-    sets = _sets(docs, nodes, settle(crowded))
+    sets = settle(_sets(docs, nodes, settle(crowded)))
     rows = sets.mapInArrow(_explode, "key long, node long, n long")
     common = rows.select("*", F.count("*").over(Window.partitionBy("key")).alias("owners"))
     common = common.where("owners > 1")
@@ -293,19 +293,20 @@ def _with_both(pairs: DataFrame, side: DataFrame, *values: str) -> DataFrame:
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, shingles) of the wanted nodes, settled.
+    """(node, shingles) of the wanted nodes, dealt by node.
 
     Texts are read again for them alone: the ids of their documents are broadcast if they are
-    few, else joined.
+    few, else joined; so are the names of the nodes, which spares a shuffle of the sets.
     """
     known = settle(nodes.join(wanted, "node").select("node", "digest", "least_id"))
     ids = small_side(settle(known.select(F.col("least_id").alias("_wanted")).distinct()))
+    names = broadcast_bytes(known.select("node", "digest"), F.octet_length("digest") + 8)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_wanted")), "left_semi")
-    return settle(
+    return (
         texts.select("text")
         .mapInArrow(_set_rows, "digest binary, shingles binary")
-        .join(known.select("node", "digest"), "digest")
+        .join(names, "digest")
         .groupBy("node")
         .agg(F.first("shingles").alias("shingles"))
     )
@@ -318,7 +319,7 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     if near.isEmpty():
         return near
     ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    both = _with_both(near, _sets(docs, nodes, ends), "shingles")
+    both = _with_both(near, settle(_sets(docs, nodes, ends)), "shingles")
     return settle(both.mapInArrow(_confirm, "a long, b long"))
 
 

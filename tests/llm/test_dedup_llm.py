@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from fallscan.llm import exact_dedup as ex
@@ -128,6 +130,55 @@ def test_near_groups_equal_brute_force(spark):
         assert all(r.kept == (r.doc_id == r.component_id) for r in found.values())
 
 
+def group_of(sets, labels, own, block):
+    n = len(sets)
+    held = {
+        "block": [block] * n, "own": own, "node": list(range(n)), "label": labels,
+        "n": [len(s) for s in sets], "bitmap": [nd.bitmap_of(s) for s in sets],
+        "shingles": [s.tobytes() for s in sets],
+    }
+    return pa.table(held)
+
+
+@pytest.mark.parametrize("block", [0, 1])
+def test_a_block_returns_a_spanning_forest(block):
+    rng = np.random.default_rng(7)
+    base = [np.unique(rng.integers(0, 2**63, 60, np.uint64)) for _ in range(3)]
+    sets = [np.unique(np.append(base[k % 3][k % 7 :], rng.integers(0, 2**63, k % 5, np.uint64))) for k in range(40)]
+    labels = [k - k % 2 if k < 8 else k for k in range(40)]
+    own = [k // 3 % 2 for k in range(40)]
+    group = group_of(sets, labels, own, block)
+    root = dict(enumerate(labels))  # brute force over all pairs that the block compares
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(40):
+        for k in range(i):
+            common = len(np.intersect1d(sets[i], sets[k]))
+            if 100 * common >= 75 * (len(sets[i]) + len(sets[k]) - common) and (not block or own[i] != own[k]):
+                root[find(i)] = find(k)
+    expected = {frozenset(i for i in range(40) if find(i) == r) for r in map(find, range(40))}
+    links = nd._span(group).to_pylist()
+    root = dict(enumerate(labels))
+    for row in links:
+        assert row["a"] < row["b"] and find(row["a"]) != find(row["b"])  # a forest
+        root[find(row["a"])] = find(row["b"])
+    assert {frozenset(i for i in range(40) if find(i) == r) for r in map(find, range(40))} == expected
+    gathered = nd._gather(group).to_pylist()
+    assert len(gathered) <= 40
+    where = {row["node"]: row["gathered"] for row in gathered}
+    assert all(where[row["a"]] == where[row["b"]] for row in links)
+
+
+def test_a_block_without_links():
+    far = [np.arange(k * 100, k * 100 + 50, dtype=np.uint64) * np.uint64(2654435761) for k in range(3)]
+    group = group_of(far, [0, 1, 2], [0, 0, 0], 0)
+    assert nd._span(group).num_rows == 0 and nd._gather(group).num_rows == 0
+
+
 def test_near_defined_cases(spark):
     rows = [(None, "one two three four five six"), (4, "one two three four five six"), (4, "one two three four five six"), (5, None)]
     found = nd.near_groups(frame(spark, rows)).collect()
