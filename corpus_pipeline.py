@@ -22,11 +22,13 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of equal texts."""
     prepare(spark)
     return exact_dedup.unique(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-duplicates."""
     prepare(spark)
     return near_dedup.representatives(docs)
 
@@ -57,9 +59,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written as Parquet and read again."""
+    """All stages over ``documents``; each result is written as Parquet and read again.
+
+    The files go to the shared folder named by ``spark.checkpoint.dir``, or below the warehouse
+    where that is unset, as in tests.
+    """
     docs = table(spark, sf_dir, "documents")
-    home = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    home = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         path = f"{home}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
