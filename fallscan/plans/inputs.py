@@ -151,6 +151,28 @@ def price_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars.groupBy("trade_date").agg(*columns)
 
 
+def ticker_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide bars with a column per field and ticker; the tickers are those of the events."""
+    bars = event_bars(spark, sf_dir)
+    tickers = [r.ticker for r in bars.select("ticker").distinct().orderBy("ticker").collect()]
+    fields = BARS.fieldNames()[2:]
+    cells = [F.first(f).alias(f) for f in fields]
+    wide = bars.groupBy("trade_date").pivot("ticker", tickers).agg(*cells)
+    return wide.toDF("trade_date", *[f"{f}__{t}" for t in tickers for f in fields])
+
+
+def region_tickers(spark: SparkSession, sf_dir: str, region: str) -> DataFrame:
+    """The tickers of the longer series whose supplier is from one region."""
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region").where(F.col("r_name") == region),
+        F.col("n_regionkey") == F.col("r_regionkey"), "left_semi",
+    )
+    suppliers = table(spark, sf_dir, "supplier").join(
+        nations, F.col("s_nationkey") == F.col("n_nationkey"), "left_semi"
+    )
+    return suppliers.select(ticker_of(F.col("s_suppkey"), "S").alias("ticker"))
+
+
 def listing_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing as raw text lines, one per customer."""
     fields = [

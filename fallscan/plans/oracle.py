@@ -321,6 +321,21 @@ def oracle_statements() -> dict[str, str]:
             FROM (SELECT DISTINCT trade_date FROM long) d
             CROSS JOIN (SELECT DISTINCT event_type AS ticker FROM events) t
             LEFT JOIN long l ON l.ticker = t.ticker AND l.trade_date = d.trade_date""",
+        "panel_wide_to_long": f"""WITH {BARS}
+            SELECT t.ticker, d.trade_date, open, high, low, close, adj_close, volume
+            FROM (SELECT DISTINCT trade_date FROM bars) d
+            CROSS JOIN (SELECT DISTINCT ticker FROM bars) t
+            LEFT JOIN bars b ON b.ticker = t.ticker AND b.trade_date = d.trade_date""",
+        "bars_of_region": f"""WITH {LONG} SELECT * FROM bars_long WHERE ticker IN (
+            SELECT {_ticker("s_suppkey", "S")} FROM supplier
+            JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+            WHERE r_name = '{r.REGION}')""",
+        "load_differences": f"""WITH {BARS}, {GAPPY}, sides AS (
+              SELECT ticker, trade_date, adj_close, 1 AS a, 0 AS b FROM bars UNION ALL
+              SELECT ticker, trade_date, adj_close, 0, 1 FROM gappy)
+            SELECT ticker, trade_date, adj_close, sum(a)::BIGINT AS n_first,
+                   sum(b)::BIGINT AS n_second
+            FROM sides GROUP BY ticker, trade_date, adj_close HAVING sum(a) <> sum(b)""",
         "company_info": f"WITH {COMPANIES} SELECT * FROM companies",
         "bars_latest_batch": f"""WITH {BATCHES} SELECT * FROM batches
             QUALIFY row_number() OVER (PARTITION BY ticker, trade_date ORDER BY batch DESC) = 1""",

@@ -14,14 +14,14 @@ from fallscan.functions.calendar import (
     crash_period, latest_trading_day, load_start, most_days, weekday_back,
 )
 from fallscan.operators import (
-    anomaly_crash, keys, outliers, quality, report, sessions, window_crash,
+    anomaly_crash, key_filter, keys, outliers, quality, reconcile, report, sessions, window_crash,
 )
 from fallscan.operators.series import with_previous_bar
 from fallscan.plans import inputs, reports
 from fallscan.sources import bars as bar_source
 from fallscan.sources import companies as company_source
 from fallscan.sources import listing as listing_source
-from fallscan.sources import sink
+from fallscan.sources import sink, wide_panel
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,7 @@ WEEKDAYS = 5
 LOAD_DAYS = 5
 LOAD_MONTHS = 1
 SECTOR = "FURNITURE"
+REGION = "ASIA"
 MAX_DAYS_IN_PAST = 2
 FIRST_N = 10
 SLICE_OFFSET, SLICE_LENGTH = 200, 40
@@ -156,6 +157,14 @@ def panel_to_long(spark, sf_dir):
     return bar_source.panel_to_long(panel, bar_source.panel_tickers(panel))
 
 
+@query
+def panel_wide_to_long(spark, sf_dir):
+    """A stored panel of all tickers, read by chunks of columns."""
+    path = sink.fresh_path(spark, "panel")
+    inputs.ticker_panel(spark, sf_dir).write.parquet(path)
+    return wide_panel.read_wide_panel(spark, path)
+
+
 @query
 def company_info(spark, sf_dir):
     return company_source.company_info(inputs.companies(spark, sf_dir))
@@ -599,3 +608,17 @@ def run_tickers_except(spark, sf_dir):
 @query
 def run_tickers_intersect(spark, sf_dir):
     return keys.in_both(inputs.load_runs(spark, sf_dir), RUN_A, RUN_B)
+
+
+@query
+def bars_of_region(spark, sf_dir):
+    wanted = inputs.region_tickers(spark, sf_dir, REGION)
+    return key_filter.semi_join(inputs.lineitem_bars(spark, sf_dir), wanted)
+
+
+@query
+def load_differences(spark, sf_dir):
+    """Prices that two loads of the same days do not have in common."""
+    return reconcile.changes(
+        _bars(spark, sf_dir), _gappy(spark, sf_dir), ["ticker", "trade_date", "adj_close"]
+    )

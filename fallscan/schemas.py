@@ -69,6 +69,8 @@ NATION = _struct(
     n_regionkey=T.IntegerType(),
 )
 
+REGION = _struct(r_regionkey=T.IntegerType(), r_name=T.StringType())
+
 ORDERS = _struct(
     o_orderkey=T.LongType(),
     o_custkey=T.LongType(),
@@ -103,6 +105,7 @@ DRIVER_TABLES = {
     "events": EVENTS,
     "customer": CUSTOMER,
     "nation": NATION,
+    "region": REGION,
     "orders": ORDERS,
     "supplier": SUPPLIER,
     "lineitem": LINEITEM,
