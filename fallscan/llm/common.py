@@ -75,6 +75,17 @@ def broadcast_bytes(df: DataFrame, row_bytes: Column) -> DataFrame:
     return F.broadcast(df) if total <= BROADCAST_BYTES else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until ``df`` has no column of that name in any case."""
+    taken = {column.lower() for column in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found
+
+
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
     """A number of hash buckets that grows with the rows; never below the reducers'."""
     reducers = int(spark.conf.get("spark.sql.shuffle.partitions"))

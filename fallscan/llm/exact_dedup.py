@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from fallscan.llm.common import SPACE, parts_for, settle, small_side
+from fallscan.llm.common import SPACE, free_names, parts_for, settle, small_side
 
 #: Rows of the index that one bucket is sized for.
 BUCKET_ROWS = 20_000
@@ -315,32 +315,35 @@ def unique(docs: DataFrame) -> DataFrame:
 
     The texts are not shuffled unless the dropped rows are too many to broadcast.
     """
+    digest, gone_id, gone_digest, twice_id, twice_digest = free_names(
+        docs, "__digest", "__gone_id", "__gone_digest", "__twice_id", "__twice_digest"
+    )
     found = digests(docs)
     live = entries(build_index(found, bucket_count(found)))
     dropped = settle(
         found.join(live, "digest")
         .where("not (doc_id <=> keep_id)")
-        .select(F.col("doc_id").alias("__gone_id"), F.col("digest").alias("__gone_digest"))
+        .select(F.col("doc_id").alias(gone_id), F.col("digest").alias(gone_digest))
         .distinct()
     )
-    marked = docs.withColumn("__digest", F.unhex(F.sha2(normalised("text"), 256)))
-    mine = docs["doc_id"].cast("long").eqNullSafe(F.col("__gone_id"))
+    marked = docs.withColumn(digest, F.unhex(F.sha2(normalised("text"), 256)))
+    mine = docs["doc_id"].cast("long").eqNullSafe(F.col(gone_id))
     kept = marked.join(
-        small_side(dropped), mine & (F.col("__digest") == F.col("__gone_digest")), "left_anti"
+        small_side(dropped), mine & (F.col(digest) == F.col(gone_digest)), "left_anti"
     )
     if live.where("same_rows > 1").isEmpty():
-        return kept.select(*[docs[c] for c in docs.columns])
+        return kept.drop(digest)
     # Rows that repeat doc_id and text: one of them stays.
     repeated = settle(
         live.where("same_rows > 1").select(
-            F.col("digest").alias("__twice_digest"), F.col("keep_id").alias("__twice_id")
+            F.col("digest").alias(twice_digest), F.col("keep_id").alias(twice_id)
         )
     )
-    twice = (F.col("__digest") == F.col("__twice_digest")) & F.col("doc_id").cast(
+    twice = (F.col(digest) == F.col(twice_digest)) & F.col("doc_id").cast(
         "long"
-    ).eqNullSafe(F.col("__twice_id"))
+    ).eqNullSafe(F.col(twice_id))
     once = kept.join(small_side(repeated), twice, "left_anti")
     several = kept.join(small_side(repeated), twice, "left_semi").dropDuplicates(
-        ["doc_id", "__digest"]
+        ["doc_id", digest]
     )
-    return once.unionByName(several).drop("__digest")
+    return once.unionByName(several).drop(digest)

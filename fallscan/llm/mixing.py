@@ -32,7 +32,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fallscan.llm.common import WORD, settle, small_side
+from fallscan.llm.common import WORD, free_names, settle, small_side
 
 # Fixed values of the mixture: weights in turn, share of all tokens, most copies of a document.
 WEIGHTS = (3, 1, 2)
@@ -256,16 +256,15 @@ def mixed(docs: DataFrame) -> DataFrame:
     Rows that share a doc_id are taken alike. Texts are not shuffled unless the ids whose copies
     differ from one are too many to broadcast.
     """
+    of, number, copy = free_names(docs, "__of", "__copies", "__copy")
     copies = settle(
         _mix(docs)
-        .groupBy(F.col("doc_id").alias("__of"))
-        .agg(F.min("copies").cast("int").alias("__copies"))
-        .where("__copies <> 1")
+        .groupBy(F.col("doc_id").alias(of))
+        .agg(F.min("copies").cast("int").alias(number))
+        .where(F.col(number) != 1)
     )
-    mine = docs["doc_id"].cast("long").eqNullSafe(F.col("__of"))
+    mine = docs["doc_id"].cast("long").eqNullSafe(F.col(of))
     taken = docs.join(small_side(copies), mine, "left")
-    times = F.coalesce("__copies", F.lit(1))
-    repeated = taken.where(times > 0).withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), times))
-    )
-    return repeated.select(*[docs[c] for c in docs.columns])
+    times = F.coalesce(number, F.lit(1))
+    repeated = taken.where(times > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), times)))
+    return repeated.drop(of, number, copy)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fallscan.llm import shingles
-from fallscan.llm.common import broadcast_bytes, settle, small_side
+from fallscan.llm.common import broadcast_bytes, free_names, settle, small_side
 
 CHUNKS = 16
 CHUNK_SYMBOLS = 3
@@ -530,6 +530,7 @@ def representatives(docs: DataFrame) -> DataFrame:
     unless the dropped ids are too many to broadcast."""
     groups = near_groups(docs)
     gone = groups.where("not kept and doc_id is not null")
-    dropped = small_side(settle(gone.select(F.col("doc_id").alias("__gone")).distinct()))
-    mine = docs["doc_id"].cast("long") == F.col("__gone")
+    (name,) = free_names(docs, "__gone")
+    dropped = small_side(settle(gone.select(F.col("doc_id").alias(name)).distinct()))
+    mine = docs["doc_id"].cast("long") == F.col(name)
     return docs.join(dropped, mine, "left_anti")

@@ -29,7 +29,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, functions as F
 
-from fallscan.llm.common import settle, small_side
+from fallscan.llm.common import free_names, settle, small_side
 
 #: Bound of the labelled rows that the classifier is fitted on.
 MAX_LABELLED = 40_000
@@ -329,5 +329,6 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     the rejected ids are too many to broadcast.
     """
     bad = _scored_rows(docs, labels).where("predicted = 1")
-    gone = small_side(settle(bad.select(F.col("doc_id").alias("__bad")).distinct()))
-    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("__bad")), "left_anti")
+    (name,) = free_names(docs, "__bad")
+    gone = small_side(settle(bad.select(F.col("doc_id").alias(name)).distinct()))
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col(name)), "left_anti")
