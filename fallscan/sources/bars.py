@@ -11,7 +11,7 @@ shuffled. ``latest_batch`` keeps all rows of a batch and does not establish it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -45,11 +45,15 @@ def between_days(bars: DataFrame, first: DateLike, last: DateLike) -> DataFrame:
     return bars.where(F.col("trade_date").between(as_date(first), as_date(last)))
 
 
-def panel_to_long(panel: DataFrame, tickers: Sequence[str], separator: str = "__") -> DataFrame:
+def panel_to_long(
+    panel: DataFrame, tickers: Sequence[str], separator: str = "__",
+    named: Callable[[str], Column] = F.lit,
+) -> DataFrame:
     """Turn columns named ``<field>__<ticker>`` into one row per ticker and day.
 
     Each panel row is expanded where it lies, so nothing is shuffled. A field the
-    panel lacks for a ticker becomes null.
+    panel lacks for a ticker becomes null. ``named`` gives the ticker of a row where
+    the columns are named by something else.
     """
     present = set(panel.columns)
     kinds = {f.name: f.dataType for f in BARS.fields}
@@ -61,7 +65,7 @@ def panel_to_long(panel: DataFrame, tickers: Sequence[str], separator: str = "__
 
     rows = F.array(
         *[
-            F.struct(F.lit(t).alias("ticker"), *[field(name, t) for name in BAR_FIELDS])
+            F.struct(named(t).alias("ticker"), *[field(name, t) for name in BAR_FIELDS])
             for t in tickers
         ]
     )

@@ -74,3 +74,33 @@ def test_volume_alone_and_no_ticker(spark, tmp_path):
     assert none.isEmpty() and none.columns == BARS.fieldNames()
     empty = wide_panel.read_wide_panel(spark, stored(tmp_path / "empty", {"open__A": []}, 0))
     assert empty.isEmpty()
+
+
+def test_more_tickers_are_more_rows_not_more_columns(spark, tmp_path):
+    names = [f"T{k:05d}" for k in range(1, 1_001)]
+    rows = [
+        (t, day(d), float(d), float(d), float(d), float(d), k + d / 8, k * d)
+        for k, t in enumerate(names) for d in (1, 2, 3) if (k + d) % 3
+    ]
+    rows += [("lone", day(9), None, None, None, None, None, None), (names[0], None, *[1.0] * 5, 1)]
+    bars = spark.createDataFrame(rows, BARS)
+    panel = wide_panel.panel_blocks(bars)
+    assert len(panel.columns) == 2 + wide_panel.CHUNK * len(BAR_FIELDS)
+    assert 1_001 / wide_panel.CHUNK <= panel.count() / 5 <= 2 * 1_001 / wide_panel.CHUNK
+    path = str(tmp_path / "blocks")
+    panel.write.parquet(path)
+    found = wide_panel.read_wide_panel(spark, path)
+    assert [f.dataType for f in found.schema] == [f.dataType for f in BARS]
+    known = {r[:2]: r for r in rows}
+    days = [day(1), day(2), day(3), day(9), None]
+    expected = [known.get((t, d), (t, d, *[None] * 6)) for t in [*names, "lone"] for d in days]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+
+
+def test_blocks_of_no_bars_and_of_few_places(spark, tmp_path, prices):
+    wide_panel.panel_blocks(prices({"A": [1.0]}).limit(0)).write.parquet(str(tmp_path / "none"))
+    assert wide_panel.read_wide_panel(spark, str(tmp_path / "none")).isEmpty()
+    bars = prices({t: [1.0, 2.0] for t in "ABCDE"})
+    wide_panel.panel_blocks(bars, per_chunk=2).write.parquet(str(tmp_path / "two"))
+    found = wide_panel.read_wide_panel(spark, str(tmp_path / "two"))
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, bars.collect()))
