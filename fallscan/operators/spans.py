@@ -14,10 +14,15 @@ day) restarts at each block by itself, since the block leads the comparison.
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fallscan.functions import span_kernels
 from fallscan.functions.prices import day, high_point, low_point, price
 
+# Workers get the kernels with the task, so they need no installed package.
+cloudpickle.register_pickle_by_value(span_kernels)
+
 _DATA, _QUERY = 0, 1  # at one day, data comes before what asks for it
 
 _POINTS = ("_low", "_high")
@@ -103,34 +108,47 @@ def ahead_extremes(bars: DataFrame, days: int) -> DataFrame:
     return _extremes(rows, [days + 1]).select("_row.*", "_low", "_high")
 
 
+def price_series(bars: DataFrame) -> DataFrame:
+    """(ticker, series): the days that have a price, with their lowest and highest one.
+
+    Days are reduced to one row each first, on the map side, so a series is as long as its range
+    of days however often a bar is repeated.
+    """
+    priced = bars.where(price().isNotNull() & day().isNotNull())
+    daily = priced.groupBy("ticker", "trade_date").agg(
+        F.min("adj_close").alias("low"), F.max("adj_close").alias("high")
+    )
+    bar = F.struct(F.col("trade_date").alias("day"), "low", "high")
+    return daily.groupBy("ticker").agg(F.collect_list(bar).alias("series"))
+
+
+def listed_extremes(asked: DataFrame, longest: int, falling: bool = False) -> DataFrame:
+    """(ticker, ..., _low, _high) with a row per span of (ticker, series, spans).
+
+    ``series`` comes from ``price_series``; ``spans`` is an array of structs with ``first_day`` and
+    ``last_day``, whose fields are kept. Both travel as they are, so spans become rows only
+    behind the shuffle. With ``falling`` only spans whose highest day is before the lowest come back.
+    """
+    span = asked.schema["spans"].dataType.elementType.simpleString()
+    point = "struct<key:double,day:date>"
+    found = asked.select("ticker", "series", "spans").mapInArrow(
+        span_kernels.extremes_of_lists(longest, falling),
+        f"ticker string, span {span}, _low {point}, _high {point}",
+    )
+    return found.select("ticker", "span.*", "_low", "_high")
+
+
 def span_extremes(bars: DataFrame, spans: DataFrame, longest: int) -> DataFrame:
     """``spans`` with ``_low`` and ``_high`` of the days ``first_day`` to ``last_day``.
 
-    ``spans`` needs ``ticker``, ``first_day`` and ``last_day``, and no two rows of a ticker may be
-    equal. ``longest`` is the most days a span has; it sets the number of block sizes. Spans
-    that end before they begin, and spans without a price, have null points.
+    ``spans`` needs ``ticker``, ``first_day`` and ``last_day``; a ticker's spans travel as one row.
+    ``longest`` is the most days a span has. Spans that end before they begin, and spans without
+    a price, have null points.
     """
-    sizes = [1 << k for k in range((longest - 1).bit_length() + 1)]
-    data = bars.select(
-        "ticker", "trade_date", "adj_close", F.unix_date(day()).alias("_pos"),
-        F.lit(_DATA).alias("_kind"), F.lit(0).alias("_level"), F.lit(False).alias("_is_end"),
-    )
-    first, last = F.unix_date("first_day"), F.unix_date("last_day")
-    differ = first.bitwiseXOR(last)
-    level = F.when(differ == 0, 0).otherwise(F.least(_log2(differ), F.lit(len(sizes) - 1)))
-    too_long = F.raise_error(F.lit(f"a span has more than {longest} days"))
-    level = F.when(last - first >= longest, too_long).otherwise(level)
-    row = F.struct(*[F.col(c) for c in spans.columns])
-    asked = spans.select(
-        "ticker", F.lit(_QUERY).alias("_kind"), level.cast("int").alias("_level"),
-        row.alias("_id"), F.explode(F.array(F.lit(False), F.lit(True))).alias("_is_end"),
-    )
-    asked = asked.withColumn(
-        "_pos", F.when(F.col("_is_end"), F.unix_date("_id.last_day")).otherwise(F.unix_date("_id.first_day"))
-    )
-    rows = data.unionByName(asked, allowMissingColumns=True).withColumn("_row", F.lit(1))
-    found = _extremes(rows, sizes)
-    valid = F.col("_id.first_day") <= F.col("_id.last_day")
-    return found.select(
-        "_id.*", *[F.when(valid, F.col(p)).alias(p) for p in ("_low", "_high")]
+    fields = [c for c in spans.columns if c != "ticker"]
+    listed = spans.groupBy("ticker").agg(F.collect_list(F.struct(*fields)).alias("spans")).alias("l")
+    series = price_series(bars).alias("s")
+    asked = listed.join(series, F.col("l.ticker").eqNullSafe(F.col("s.ticker")), "left").select(
+        "l.ticker", "spans", F.coalesce("series", F.array().cast(series.schema["series"].dataType)).alias("series")
     )
+    return listed_extremes(asked, longest).select(*spans.columns, "_low", "_high")

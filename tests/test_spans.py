@@ -123,6 +123,33 @@ def test_every_day_shuffles_the_bars_once(spark, gappy, tmp_path):
     assert plan.count("Exchange hashpartitioning(ticker") == 2 and "Join" not in plan
 
 
+def test_spans_become_rows_only_behind_the_shuffle(spark, gappy, tmp_path):
+    """Every ticker with every as-of day was a row of the shuffle, sorted twice."""
+    gappy.write.parquet(str(tmp_path / "b"))
+    windows = spark.createDataFrame([(day(5), day(1), day(4), "A")], "asof_date date, first_day date, last_day date, market string")
+    markets = spark.createDataFrame([("T0", "A")], "ticker string, market string")
+    for m in (None, markets):
+        drops = window_drops(spark.read.parquet(str(tmp_path / "b")), windows, 9, markets=m)
+        plan = drops._jdf.queryExecution().executedPlan().toString()
+        assert "explode(spans" not in plan and "explode(filter" not in plan and "Window" not in plan
+        assert "MapInArrow" in plan
+
+
+def test_days_repeat_or_lack_and_tickers_have_two_markets(spark, make_bars):
+    bars = make_bars({"T": [(1, 10.0, 1), (2, 4.0, 1), (2, 5.0, 1), (2, 4.0, 2), (3, None, 1)], "U": [(1, 3.0, 1)]})
+    bars = bars.unionByName(bars.where("ticker = 'T'").withColumn("trade_date", F.lit(None).cast("date")))
+    windows = spark.createDataFrame(
+        [(day(4), day(1), day(3), m) for m in ("A", "B")] + [(day(5), day(1), day(2), "B"), (None, None, None, "A")],
+        "asof_date date, first_day date, last_day date, market string",
+    )
+    pairs = [("T", "A"), ("T", "B"), ("T", "B"), ("T", None), ("U", "A"), ("V", "A")]
+    markets = spark.createDataFrame(pairs, "ticker string, market string")
+    found = window_drops(bars, windows, 9, min_value_today=False, markets=markets).collect()
+    assert sorted((r.ticker, r.asof_date, r.min_price, r.min_date, r.max_date, r.diff_perc) for r in found) == [
+        ("T", day(4), 4.0, day(2), day(1), 60.0), ("T", day(5), 4.0, day(2), day(1), 60.0),
+    ]
+
+
 # ---- bins ----------------------------------------------------------------------------------
 
 
