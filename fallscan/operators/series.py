@@ -6,6 +6,8 @@ ticker's bars once, behind one shuffle, no matter how many columns are added.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from fallscan.functions.prices import price
@@ -16,6 +18,9 @@ from fallscan.operators.quality import with_dollar_volume
 _DAY = "_day"
 _RANK = "_rank"
 
+#: Bars a task sorts after ``spread``, on average.
+TASK_BARS = 200_000
+
 SERIES_FIELDS = ["volume_close", "prev_date", "prev_close"]
 
 
@@ -50,6 +55,16 @@ def rank() -> Column:
     return F.col(_RANK)
 
 
+def spread(bars: DataFrame, rows: int) -> DataFrame:
+    """``bars``, of at most so many rows, partitioned by ticker into parts of bounded size.
+
+    The reducers that a session sets do not grow with the table; these do, so what a task sorts
+    stays the same. The analyses need no other shuffle by ticker then.
+    """
+    cores = bars.sparkSession.sparkContext.defaultParallelism
+    return bars.repartition(max(cores, math.ceil(rows / TASK_BARS)), "ticker")
+
+
 def with_day(bars: DataFrame) -> DataFrame:
     return bars if _DAY in bars.columns else bars.withColumn(_DAY, F.unix_date("trade_date"))
 

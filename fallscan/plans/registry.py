@@ -16,7 +16,7 @@ from fallscan.functions.calendar import (
 from fallscan.operators import (
     anomaly_crash, key_filter, keys, outliers, quality, reconcile, report, sessions, window_crash,
 )
-from fallscan.operators.series import with_previous_bar
+from fallscan.operators.series import spread, with_previous_bar
 from fallscan.plans import inputs, reports
 from fallscan.sources import bars as bar_source
 from fallscan.sources import companies as company_source
@@ -507,7 +507,9 @@ def anomaly_window_range(spark, sf_dir):
 
 @query
 def anomaly_window_wide(spark, sf_dir):
-    windows = anomaly_crash.with_drop_window(inputs.lineitem_bars(spark, sf_dir), WIDE_DAYS)
+    rows = inputs.table(spark, sf_dir, "lineitem").count()
+    bars = spread(inputs.lineitem_bars(spark, sf_dir), rows)
+    windows = anomaly_crash.with_drop_window(bars, WIDE_DAYS)
     return windows.where(F.col("min_close").isNotNull()).select(
         "ticker", "trade_date", *anomaly_crash.WINDOW_FIELDS
     )

@@ -12,6 +12,7 @@ from fallscan.functions.calendar import crash_period, most_days
 from fallscan.operators import anomaly_crash as ac
 from fallscan.operators import sessions as se
 from fallscan.operators.outliers import score_bars
+from fallscan.operators.series import TASK_BARS, spread
 from fallscan.operators.spans import ahead_extremes, span_extremes
 from fallscan.operators.window_crash import window_crashes, window_drops
 
@@ -224,3 +225,19 @@ def test_lowest_day_may_be_the_day_before_a_holiday(spark, make_bars):
     first, last = crash_period(day(5), 2)
     assert window_crashes(bars, last, first).isEmpty()
     assert re.match(r"\d+", str(se.longest_window(windows)))
+
+
+def test_spread_bounds_what_a_task_sorts(spark, gappy, tmp_path):
+    """The parts were as many as the session's reducers, however many bars there were."""
+    gappy.write.parquet(str(tmp_path / "b"))
+    bars = spread(spark.read.parquet(str(tmp_path / "b")), 50 * TASK_BARS)
+    wide = ac.with_drop_window(bars, 120)
+    assert wide.rdd.getNumPartitions() == 50
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert spread(bars, 0).count() == gappy.count()
+
+
+def test_wide_frames_sort_no_second_row_of_a_bar(gappy):
+    plan = ac.with_drop_window(gappy, 120)._jdf.queryExecution().executedPlan().toString()
+    assert "explode([false,true])" not in plan and "ArrowEvalPython" in plan
