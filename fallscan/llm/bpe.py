@@ -13,8 +13,9 @@ every byte token has an arc to every byte token. The gadget of a merge ``(a, b)
 
 The arcs of 50,000 states are not written out. A gadget is kept as ``(left, right, step)``, and
 whether an arc exists is read off the gadgets once and then kept in the transition table.
-For every prefix of a word exactly one path is accepted; encoding finds its last arc, prefix by
-prefix, and decoding emits the bytes that label the arcs.
+For every prefix of a word exactly one path is accepted; encoding follows it from state to state, the
+longest first, and steps back from places that lead nowhere. Decoding emits the bytes that label the
+arcs.
 
 Texts are split first as the vocabulary's pre-tokenizer does; special tokens in a text are
 tokens of their own.
@@ -38,6 +39,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
 
+#: First bytes of a state by which its possible lengths are looked up.
+HEAD = 3
+
 #: Characters of a very long text that are split and encoded at a time.
 PIECE = 1 << 18
 
@@ -75,7 +79,12 @@ class Automaton:
             self._add_gadget(
                 vocabulary[left], vocabulary[right], vocabulary[left + right], step
             )
-        self.longest = max(map(len, self.states))
+        #: first bytes -> lengths of the states that begin with them, longest first
+        sizes: dict[bytes, set[int]] = {}
+        for label in self.states:
+            if len(label) >= HEAD:
+                sizes.setdefault(label[:HEAD], {2, 1}).add(len(label))
+        self.starts = {head: tuple(sorted(some, reverse=True)) for head, some in sizes.items()}
         self.arcs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -127,19 +136,36 @@ class Automaton:
         whole = self.states.get(word)
         if whole is not None:
             return [whole]
-        states, longest, arc = self.states, self.longest, self.arc
-        last: list[int] = [-1]  # last[k]: the last state on the path of the first k bytes
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                state = states.get(word[start:end])
-                if state is not None and (start == 0 or arc(last[start], state)):
-                    last.append(state)
+        states, arcs, starts, n = self.states, self.arcs, self.starts, len(word)
+        before = None
+        # Of every prefix there is one path, so a place that led nowhere once is dead for good.
+        found: list[int] = []
+        places, dead = [0], set()
+        while True:
+            at = places[-1]
+            for size in starts.get(word[at : at + HEAD], (2, 1)):  # longest state first
+                end = at + size
+                if end > n or end in dead:
+                    continue
+                state = states.get(word[at:end])
+                if state is None:
+                    continue
+                if before is None:
                     break
-        found, end = [], len(word)
-        while end:
-            found.append(last[end])
-            end -= len(self.labels[last[end]])
-        return found[::-1]
+                known = arcs.get((before, state))
+                if known or known is None and self.arc(before, state):
+                    break
+            else:
+                dead.add(at)
+                places.pop()
+                found.pop()
+                before = found[-1] if found else None
+                continue
+            found.append(state)
+            before = state
+            if end == n:
+                return found
+            places.append(end)
 
     def __getitem__(self, word: str) -> bytes:
         """Ids of a pre-split word, as little-endian unsigned 32-bit integers."""

@@ -35,6 +35,23 @@ def test_automaton_equals_the_library(library):
         assert machine.decode(ids) == text
 
 
+def test_a_word_is_looked_up_by_states_not_by_all_its_parts():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            self.asked += 1
+            return super().get(key)
+
+    machine, rng = bpe.Automaton(PATH), random.Random(6)
+    plain = machine.states
+    machine.states = counted = Counted(plain)
+    words = ["".join(rng.choices("aeinorstld", k=16)).encode() for _ in range(500)]
+    for word in words:
+        assert b"".join(machine.labels[state] for state in machine.path(word)) == word
+    assert counted.asked < 2 * sum(map(len, words))  # 1.7 a byte; all parts from their ends were 7.6
+
+
 def test_encoded_documents(spark, library):
     rows = [(k, t, 3) for k, t in enumerate(TEXTS)] + [(None, None, 4), (1, TEXTS[1], 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
