@@ -89,30 +89,3 @@ def extremes_of_lists(longest: int, falling: bool):
                     found, held = [], 0
 
     return run
-
-
-def ahead_of_lists(days: int):
-    """For every bar of a list the positions of the first lowest and highest price of its day and
-    the ``days`` days after it; null where there is no price."""
-
-    def run(at: pa.Array, prices: pa.Array) -> pa.Array:
-        number = at.values.cast(pa.int64()).to_numpy(zero_copy_only=False)
-        price = prices.values.to_numpy(zero_copy_only=False)  # null is NaN here
-        day_at, price_at = at.offsets.to_numpy(), prices.offsets.to_numpy()
-        low, high = np.full((2, day_at[-1] - day_at[0]), -1)
-        for row in range(len(at)):
-            day, value = number[day_at[row] : day_at[row + 1]], price[price_at[row] : price_at[row + 1]]
-            known = np.flatnonzero(~(np.isnan(value) | np.isnan(day)))
-            known = known[np.argsort(day[known], kind="stable")]
-            left = np.searchsorted(day[known], day, "left")
-            right = np.searchsorted(day[known], day + days, "right")
-            some = np.flatnonzero((left < right) & ~np.isnan(day))
-            if len(some):
-                own = slice(day_at[row] - day_at[0], day_at[row + 1] - day_at[0])
-                low[own][some] = known[first_lowest(value[known], left[some], right[some])]
-                high[own][some] = known[first_lowest(-value[known], left[some], right[some])]
-        ends = pa.array(day_at - day_at[0], pa.int32())
-        positions = [pa.array(p, pa.int32(), mask=p < 0) for p in (low, high)]
-        return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(positions, ["low", "high"]))
-
-    return run

@@ -19,7 +19,7 @@ _DAY = "_day"
 _RANK = "_rank"
 
 #: Bars a task sorts after ``spread``, on average.
-TASK_BARS = 200_000
+TASK_BARS = 100_000
 
 SERIES_FIELDS = ["volume_close", "prev_date", "prev_close"]
 
