@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fallscan.llm import shingles
 from fallscan.llm.common import broadcast_bytes, free_names, settle, small_side
@@ -216,12 +216,16 @@ def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rare_keys(docs: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame:
-    """(key, node): the rarest shingles of nodes with too few uncrowded chunks, settled.
+    """(key, node, n, fits): the rarest shingles of nodes with too few uncrowded chunks, settled.
 
     Sets with 100 * intersection >= SIMILARITY * union share one of the first
     n - ceil(SIMILARITY / 100 * n) + 1 shingles of either, in any common order; the order is
     by how many of these nodes have a shingle. Shingles of a single node come first and join
     nothing, therefore they are counted and not kept.
+
+    At the first shingle that two sets share, neither has more in common with the other than the
+    shingles from there on, so a set links there only with sets of at most ``fits`` shingles, and
+    only if it fits them too. Rows that fit no other row of their key are left out.
     """
     crowded = (
         shared.where(F.col("size") > CROWD)
@@ -239,7 +243,13 @@ def _rare_keys(docs: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFram
     rank = F.row_number().over(by_node.orderBy("owners", "key"))
     least = F.floor((F.col("n") * SIMILARITY + 99) / 100)
     prefix = common.select("key", "node", (single + rank).alias("rank"), least.alias("least"), "n")
-    return settle(prefix.where("rank <= n - least + 1").select("key", "node"))
+    left = F.col("n") - F.col("rank") + 1
+    fits = F.floor(left * (100 + SIMILARITY) / SIMILARITY).cast("long") - F.col("n")
+    at_key = Window.partitionBy("key")
+    bounds = [F.min("n").over(at_key).alias("least"), F.max("fits").over(at_key).alias("most")]
+    kept = prefix.where("rank <= n - least + 1").select("key", "node", "n", fits.alias("fits"))
+    kept = kept.select("*", *bounds).where("fits >= least and n <= most")
+    return settle(kept.drop("least", "most"))
 
 
 def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,82 +333,121 @@ def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return settle(both.mapInArrow(_confirm, "a long, b long"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """The edges (a, b), a < b, between the labels of their ends, those within a label left out."""
+    for end, other in ("ab", "ba"):
+        at = labels.select(F.col("node").alias(end), F.col("label").alias("root"))
+        edges = edges.join(at, end, "left").select(F.coalesce("root", end).alias(end), other)
+    ends = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return ends.where("a < b").distinct()
+
+
+def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(node, label) of every linked node but the smallest of each component, its label.
 
     Every node takes the smallest smaller neighbour as its parent; parents of parents, doubled
     until they stand, lead to roots. Links are then drawn between roots, and what is left, far
-    fewer, is treated alike until no link remains.
+    fewer, is treated alike until no link remains. With ``labels``, the result for earlier links,
+    only the components that these left are joined by the further ones.
     """
-    ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    edges = settle(ends.where("a < b").distinct())
-    labels = None
+    if labels is None:
+        ends = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        edges = settle(ends.where("a < b").distinct())
+    else:
+        edges = settle(_between(links, labels))
     while labels is None or not edges.isEmpty():
-        tree = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
+        tree = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
         tree = settle(tree)
         while True:
-            above = tree.select(F.col("node").alias("up"), F.col("up").alias("top"))
+            above = tree.select(F.col("node").alias("label"), F.col("label").alias("top"))
             jumped = settle(
-                tree.join(above, "up", "left").select(
-                    "node", F.coalesce("top", "up").alias("up"), F.col("top").alias("moved")
+                tree.join(above, "label", "left").select(
+                    "node", F.coalesce("top", "label").alias("label"), F.col("top").alias("moved")
                 )
             )
-            tree = jumped.select("node", "up")
+            tree = jumped.select("node", "label")
             if jumped.where("moved is not null").isEmpty():
                 break
-        roots = tree.select(F.col("node").alias("label"), F.col("up").alias("root"))
-        fresh = tree.select("node", F.col("up").alias("label"))
         if labels is None:
-            labels = fresh
+            labels = tree
         else:
+            roots = tree.select(F.col("node").alias("label"), F.col("label").alias("root"))
             followed = labels.join(roots, "label", "left").select(
                 "node", F.coalesce("root", "label").alias("label")
             )
-            labels = settle(followed.union(fresh))
-        for end in ("a", "b"):
-            at = tree.select(F.col("node").alias(end), F.col("up").alias("root"))
-            other = "b" if end == "a" else "a"
-            edges = edges.join(at, end, "left").select(
-                F.coalesce("root", end).alias(end), other
-            )
-        edges = settle(
-            edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .where("a < b")
-            .distinct()
-        )
+            labels = settle(followed.union(tree))
+        edges = settle(_between(edges, tree))
     return labels
 
 
 def _leader_pairs(groups: DataFrame) -> DataFrame:
-    """(a, b): the leaders of each key with its other nodes.
+    """(a, b): the leaders of each key with its other nodes, as far as they fit each other.
 
-    One leader is the smallest node. LEADERS more are those with the least hash of node and a
-    salt; the salts follow from the key and are few, so keys of the same nodes repeat the same
-    pairs, while one large group is met by many leaders.
+    One leader is the node of the smallest set, or the smallest node where sizes are not given:
+    sets that share a passage and little else fit this one if they fit any. LEADERS more are
+    those with the least hash of node and a salt; the salts follow from the key and are few, so
+    keys of the same nodes repeat the same pairs, while one large group is met by many leaders.
     """
     at_key = Window.partitionBy("key")
-    heads = [F.min("node").over(at_key)]
+    row = F.struct("node", "n", "fits")
+    heads = [F.min_by(row, F.struct("n", "node")).over(at_key)]
     for turn in range(LEADERS):
         salt = F.pmod(F.col("key") + turn, F.lit(SALTS))
-        heads.append(F.min_by("node", F.xxhash64(salt, "node")).over(at_key))
-    led = groups.select("node", F.array_distinct(F.array(*heads)).alias("heads"))
-    pairs = led.select("node", F.explode("heads").alias("lead")).where("node <> lead")
-    return pairs.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b"))
+        heads.append(F.min_by(row, F.xxhash64(salt, "node")).over(at_key))
+    led = groups.select("node", "n", "fits", F.array_distinct(F.array(*heads)).alias("heads"))
+    pairs = led.select("node", "n", "fits", F.explode("heads").alias("lead"))
+    pairs = pairs.where("node <> lead.node").where(
+        F.coalesce(F.expr("n <= lead.fits and lead.n <= fits"), F.lit(True))
+    )
+    return pairs.select(
+        F.least("lead.node", "node").alias("a"), F.greatest("lead.node", "node").alias("b")
+    )
+
 
+def _parts(rows: DataFrame, by: str, weight: Column) -> DataFrame:
+    """(by, main, inner, outer, size) of groups that span several components.
 
-def _in_blocks(rows: DataFrame, by: str, counts: DataFrame) -> DataFrame:
+    ``main`` is the label of the largest component, ``inner`` and ``outer`` are the numbers of
+    blocks that its nodes and all others fill, by a weight of at most BLOCK_SHINGLES a block.
+    """
+    held = rows.groupBy(by, "label").agg(
+        F.sum(weight).alias("held"), F.count("*").alias("size")
+    )
+    groups = held.groupBy(by).agg(
+        F.max(F.struct("held", "label")).alias("top"),
+        F.sum("held").alias("held"),
+        F.sum("size").alias("size"),
+        F.count("*").alias("labels"),
+    )
+    blocks = lambda total: F.ceil(total / BLOCK_SHINGLES).cast("int")
+    return groups.where("labels > 1").select(
+        by,
+        F.col("top.label").alias("main"),
+        blocks(F.col("top.held")).alias("inner"),
+        blocks(F.col("held") - F.col("top.held")).alias("outer"),
+        "size",
+    )
+
+
+def _in_blocks(rows: DataFrame, by: str, parts: DataFrame) -> DataFrame:
     """``rows`` with (block, own): the nodes of a group in pairs of blocks.
 
-    ``counts`` has the number m of blocks of every group. A group's nodes are dealt into its
-    blocks; block i meets block j in the pair (i, j), so a task never holds more than about two.
+    The nodes outside a group's main component are dealt into blocks 0 to outer - 1, the others
+    into the ``inner`` blocks behind; blocks i and j meet in the pair (i, j), so a task never
+    holds more than about two. Nodes of the main component need not meet each other: they are
+    copied to the outer blocks only, and where those outside are few, a node is copied to one
+    pair if it is inside and once a block if not, twice the size of the group in all.
     """
-    dealt = rows.join(counts.select(by, "m"), by)
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
+    dealt = rows.join(parts.drop("size"), by)
+    inside, at = F.col("label") == F.col("main"), F.xxhash64("node")
+    own = F.when(inside, F.col("outer") + F.pmod(at, F.col("inner")))
+    dealt = dealt.withColumn("own", own.otherwise(F.pmod(at, F.col("outer"))).cast("int"))
+    met = F.col("outer") + F.when(inside, 0).otherwise(F.col("inner"))
     block = F.transform(
-        F.sequence(F.lit(0), F.col("m") - 1),
+        F.sequence(F.lit(0), met - 1),
         lambda o: F.least("own", o).cast("long") * F.lit(1 << 20) + F.greatest("own", o),
     )
-    return dealt.withColumn("block", F.explode(block)).drop("m")
+    return dealt.withColumn("block", F.explode(block)).drop("main", "inner", "outer")
 
 
 def _open_links(
@@ -411,28 +460,22 @@ def _open_links(
     confirmed on whole shingle sets, and gives a spanning forest of its links only: both steps
     return no more rows than they read, however many links a group has.
     """
-    placed = groups.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label")
-    )
-    torn = (
-        placed.groupBy("key")
-        .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-        .where("lo < hi and size > 2")  # of two nodes, one is a leader
-        .select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("m"))
-    )
+    labelled = F.coalesce("label", "node").alias("label")
+    fits = F.coalesce("fits", F.lit(1 << 62)).alias("fits")
+    placed = groups.join(labels, "node", "left").select("key", "node", labelled, fits)
+    torn = _parts(placed, "key", F.lit(BLOCK_SHINGLES // BLOCK))
+    torn = torn.where("size > 2")  # of two nodes, one is a leader
     met = _in_blocks(placed, "key", torn).join(nodes.select("node", "n", "bitmap"), "node")
     found = met.groupBy("key", "block").applyInArrow(_gather, "gathered long, node long")
     members = settle(found.distinct())
     if members.isEmpty():
         return members.select(F.col("gathered").alias("a"), F.col("node").alias("b"))
-    sizes = members.join(nodes.select("node", "n"), "node").groupBy("gathered")
-    held = F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)
-    counts = sizes.agg(F.ceil(held).cast("int").alias("m"))
+    sized = members.join(nodes.select("node", "n"), "node").join(labels, "node", "left")
+    sized = sized.select("gathered", "node", labelled, "n")
+    weight = F.greatest(F.lit(BLOCK_SHINGLES // BLOCK), "n")
     sets = _sets(docs, nodes, members.select("node").distinct())
-    labelled = members.join(labels, "node", "left").select(
-        "gathered", "node", F.coalesce("label", "node").alias("label")
-    )
-    met = _in_blocks(labelled, "gathered", counts).join(sets, "node")
+    met = _in_blocks(sized.drop("n"), "gathered", _parts(sized, "gathered", weight))
+    met = met.join(sets, "node")
     return settle(met.groupBy("gathered", "block").applyInArrow(_span, "a long, b long").distinct())
 
 
@@ -443,10 +486,11 @@ def _met_in(group: pa.Table) -> tuple[np.ndarray, bool]:
 
 
 def _gather(group: pa.Table) -> pa.Table:
-    """(gathered, node): nodes tied by pairs of different components that sizes and bitmaps
-    do not rule out; tied nodes have the digest of their set in common."""
+    """(gathered, node): nodes tied by pairs of different components that sizes, ``fits`` where
+    given, and bitmaps do not rule out; tied nodes have the digest of their set in common."""
     nodes, labels, n = (group.column(c).to_numpy() for c in ("node", "label", "n"))
     own, same_block = _met_in(group)
+    fits = group.column("fits").to_numpy() if "fits" in group.column_names else None
     bitmaps = _bitmaps(group.column("bitmap").combine_chunks())
     tied = np.arange(len(nodes))
     for k in range(len(nodes) - 1):
@@ -454,6 +498,8 @@ def _gather(group: pa.Table) -> pa.Table:
         open_pair = (labels[rest] != labels[k]) & (tied[rest] != tied[k])
         if not same_block:
             open_pair &= own[rest] != own[k]
+        if fits is not None:
+            open_pair &= (n[rest] <= fits[k]) & (n[k] <= fits[rest])
         at = np.flatnonzero(open_pair) + k + 1
         differ = np.bitwise_count(bitmaps[at] ^ bitmaps[k]).sum(axis=1, dtype=np.int64)
         at = at[differ <= most_differing(n[at] + n[k])]
@@ -500,14 +546,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
     shared = _shared_keys(nodes)
     groups = (
         shared.where(F.col("size") <= CROWD)
-        .select("key", "node")
+        .select("key", "node", *(F.lit(None).cast("long").alias(c) for c in ("n", "fits")))
         .union(_rare_keys(docs, nodes, shared))
     )
     links = _links(docs, nodes, _leader_pairs(groups))
     labels = components(links)
     rest = _open_links(docs, groups, labels, nodes)
     if not rest.isEmpty():
-        labels = components(links.union(rest))
+        labels = components(rest, labels)
     named = nodes.join(labels, "node", "left").select(
         "digest", "least_id", F.coalesce("label", "node").alias("label")
     )

@@ -179,6 +179,51 @@ def test_a_block_without_links():
     assert nd._span(group).num_rows == 0 and nd._gather(group).num_rows == 0
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_crowds_in_small_blocks_make_few_rows(spark, monkeypatch, seed):
+    rows, made = near_rows(random.Random(seed)), []
+    real = nd._in_blocks
+
+    def counted(held, by, parts):
+        blocks = real(held, by, parts)
+        made.append((blocks.count(), held.join(parts.select(by).distinct(), by, "left_semi").count()))
+        return blocks
+
+    monkeypatch.setattr(nd, "CROWD", 8)
+    monkeypatch.setattr(nd, "BLOCK", 16)
+    monkeypatch.setattr(nd, "BLOCK_SHINGLES", 1 << 12)
+    monkeypatch.setattr(nd, "_in_blocks", counted)
+    found = {r.doc_id: r.component_id for r in nd.near_groups(frame(spark, rows)).collect()}
+    assert found == brute_components(rows)
+    assert made and all(copies <= 3 * size for copies, size in made)
+
+
+def test_all_components_of_a_group_meet(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 16)
+    monkeypatch.setattr(nd, "BLOCK_SHINGLES", 1 << 12)
+    label = {k: k if k < 40 else 1000 for k in range(400)} | {k: 2000 for k in range(400, 410)}
+    rows = [(7, k, v) for k, v in label.items()] + [(8, k, 5) for k in range(50)]
+    held = spark.createDataFrame(rows, "key long, node long, label long")
+    met = nd._in_blocks(held, "key", nd._parts(held, "key", nd.F.lit(256))).collect()
+    assert {r.key for r in met} == {7}  # the other is one component
+    blocks = {}
+    for r in met:
+        blocks.setdefault(r.block, []).append((r.node, r.own))
+    pairs = {(a, b) for held in blocks.values() for a, _ in held for b, _ in held}
+    assert all((a, b) in pairs for a in label for b in label if label[a] != label[b])
+    assert max(map(len, blocks.values())) < 80  # about two blocks of 16
+    assert sum(1 for r in met if r.label == 1000) <= 4 * 360  # a copy for each block outside
+
+
+def test_components_grow_by_further_links(spark):
+    links = [(k, k + 1) for k in range(0, 40, 2)]
+    rest = [(k + 1, k + 2) for k in range(10, 30, 2)] + [(3, 100), (100, 7), (200, 201)]
+    make = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    for first, then in ((links, rest), (rest, links)):
+        grown = nd.components(make(then), nd.components(make(first)))
+        assert sorted(grown.collect()) == sorted(nd.components(make(links + rest)).collect())
+
+
 def test_near_defined_cases(spark):
     rows = [(None, "one two three four five six"), (4, "one two three four five six"), (4, "one two three four five six"), (5, None)]
     found = nd.near_groups(frame(spark, rows)).collect()
