@@ -39,6 +39,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
 
+#: Arcs that a worker keeps.
+CACHED_ARCS = 200_000
+
 #: First bytes of a state by which its possible lengths are looked up.
 HEAD = 3
 
@@ -106,7 +109,7 @@ class Automaton:
         """Whether the finished automaton has the arc."""
         known = self.arcs.get((before, after))
         if known is None:
-            if len(self.arcs) > 2_000_000:
+            if len(self.arcs) >= CACHED_ARCS:
                 self.arcs.clear()
             known = self.arcs[(before, after)] = self._arc_at(before, after, 1 << 60)
         return known
@@ -181,6 +184,10 @@ class Automaton:
             self.words[word] = known
         return known
 
+    def forget(self) -> None:
+        """Give up all kept words and arcs; a worker outlives its task and holds them else."""
+        self.words, self.older, self.arcs = {}, {}, {}
+
     def _plain(self, text: str) -> Iterator[bytes]:
         """Ids of a text without special tokens, piece by piece."""
         if len(text) <= PIECE:
@@ -259,6 +266,7 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = False) -> Data
                 columns.append(pa.array(lists, pa.list_(pa.int64())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names)
+        machine.forget()
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return narrow.mapInArrow(run, schema)

@@ -24,6 +24,9 @@ BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD = 64
 
+#: Bytes of an Arrow batch. Every running task holds some of them, in the JVM and in its worker.
+BATCH_BYTES = 1 << 20
+
 _PACKAGE_HOME = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -31,7 +34,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Let Python workers import the package and see whole texts in batches of bounded bytes.
 
     On a cluster the package is shipped with the job (``--py-files``); the extra path entry
-    serves local sessions that were started in another folder.
+    serves local sessions that were started in another folder. A batch holds at most 2,000 rows
+    and ends with the row that fills ``BATCH_BYTES``, unless the session sets other bounds.
     """
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -39,6 +43,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         environment["PYTHONPATH"] = os.pathsep.join([_PACKAGE_HOME, *filter(None, paths)])
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b":
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

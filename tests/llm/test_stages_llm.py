@@ -1,10 +1,11 @@
 """The pipeline's stages on odd rows: nulls, repeats, empty tables, clashing column names."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fallscan.llm import exact_dedup, mixing, near_dedup, toxicity
-from fallscan.llm.common import free_names
+from fallscan.llm.common import BATCH_BYTES, free_names, prepare
 
 CLASHING = [
     "__bad", "__digest", "__gone_id", "__gone_digest", "__twice_id", "__twice_digest", "__gone",
@@ -64,3 +65,17 @@ def test_what_the_stages_keep(docs, labels):
 def test_free_names(spark):
     rows = spark.sql("select 1 as A, 2 as a_, 3 as b")
     assert free_names(rows, "a", "c", "B") == ["a__", "c", "B_"]
+
+
+def test_batches_of_texts_are_bounded_by_their_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"]
+            )
+
+    prepare(spark)
+    long = spark.range(0, 60, 1, 1).selectExpr("id", "repeat('x', 100000) as text")
+    found = long.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(row["rows"] for row in found) == 60
+    assert max(row["bytes"] for row in found) < BATCH_BYTES + 110_000

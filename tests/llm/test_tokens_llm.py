@@ -5,6 +5,7 @@ import random
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 
@@ -135,3 +136,17 @@ def test_null_edits_and_bounds(spark, library):
         assert found[k].edited_chars == len(text)
         assert found[k].edited_tokens == len(library.encode(text, add_special_tokens=False).ids)
     assert token_counts.count_edited(docs.limit(0), PATH).isEmpty()
+
+
+def test_a_worker_holds_no_words_or_arcs_once_its_task_has_ended(spark):
+    texts = [(k, f"unheard{k}ofword another{k}strangeword") for k in range(80)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+    assert bpe.encode_documents(docs, PATH).where("n_tokens > 4").count() == 80
+
+    def held(batches):
+        for _ in batches:
+            known = [len(m.words) + len(m.older) + len(m.arcs) for m in bpe._automata.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(known)], pa.int64())], ["held"])
+
+    rows = spark.range(0, 80, 1, 8).mapInArrow(held, "held long").collect()
+    assert [row["held"] for row in rows] == [0] * 8
